@@ -1,0 +1,91 @@
+"""Run registered queries and compare them with their SQL on the same tables.
+
+usage: python tools_check.py [--sf DIR] [--explain] [name ...]
+"""
+
+from __future__ import annotations
+
+import argparse
+import math
+import sys
+import time
+
+import duckdb
+
+from rillmark.plans.registry import ORACLES, QUERIES, load_all
+from rillmark.session import local_session
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+          "conversations").split()
+
+
+def connect(root: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{root}/{t}.parquet')")
+    return con
+
+
+def plain(v):
+    if v is None or (isinstance(v, float) and math.isnan(v)):
+        return None
+    if isinstance(v, float):
+        return 0.0 if v == 0 else v
+    return v
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
+
+
+def main() -> int:
+    ap = argparse.ArgumentParser()
+    ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--explain", action="store_true")
+    ap.add_argument("names", nargs="*")
+    args = ap.parse_args()
+    load_all()
+    spark = local_session(8)
+    con = connect(args.sf)
+    bad = 0
+    for name in args.names or list(QUERIES):
+        t0 = time.time()
+        try:
+            df = QUERIES[name](spark, args.sf)
+            if args.explain:
+                df.explain("formatted")
+            got = [tuple(r) for r in df.collect()]
+            took = time.time() - t0
+            if name not in ORACLES:
+                print(f"rows {name}: {len(got)} rows, {took:.1f}s, {df.columns}", flush=True)
+                continue
+            res = con.execute(ORACLES[name])
+            want_cols = [d[0] for d in res.description]
+            want = res.fetchall()
+            if sorted(want_cols) != sorted(df.columns):
+                print(f"FAIL {name}: columns {sorted(df.columns)} vs {sorted(want_cols)}", flush=True)
+                bad += 1
+                continue
+            a, b = rows_of(df.columns, got), rows_of(want_cols, want)
+            if a == b and (a or name.startswith("dq_")):
+                types = {t for r in want[:50] for t in map(type, r)}
+                gt = {t for r in got[:50] for t in map(type, r)}
+                note = "" if types == gt else f" types {gt ^ types}"
+                print(f"ok   {name}: {len(a)} rows, {took:.1f}s{note}", flush=True)
+            else:
+                bad += 1
+                print(f"FAIL {name}: {len(a)} vs {len(b)} rows", flush=True)
+                sa, sb = set(map(repr, a)), set(map(repr, b))
+                for x in sorted(sa - sb)[:3]:
+                    print("   spark ", x, flush=True)
+                for x in sorted(sb - sa)[:3]:
+                    print("   oracle", x, flush=True)
+        except Exception as e:  # noqa: BLE001
+            bad += 1
+            print(f"ERR  {name}: {type(e).__name__} {str(e)[:1500]}", flush=True)
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())
