@@ -113,6 +113,14 @@ def exact_percentiles(
     return picked.select(*keys, F.col("_n").alias("n"), *outs)
 
 
+def value_pieces(df: DataFrame, value: str, out: str, pieces: int = 64) -> DataFrame:
+    """Add ``out``, the number of the value range a row falls in; ranges come from approximate quantiles."""
+    cuts = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+    edges = df.groupBy().agg(F.percentile_approx(col(value), cuts, F.lit(2000)).alias("e")).scalar()
+    return df.withColumn("_edges", edges).withColumn(
+        out, F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
+
+
 def hot_keys(df: DataFrame, key: str, share: float = 1 / 256) -> DataFrame:
     """Keys that hold more than ``share`` of all rows; by that definition there are fewer than 1/share of them."""
     counts = df.groupBy(key).agg(F.count("*").alias("_c"))
@@ -136,6 +144,17 @@ def salted_join(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
+def dimension_join(big: DataFrame, dim: DataFrame, key: str, how: str = "inner", max_rows: int = 200_000) -> DataFrame:
+    """Join to a table that is expected to be small.
+
+    It is broadcast only after counting that it has at most ``max_rows`` rows; a larger one is joined by
+    :func:`salted_join`.
+    """
+    if dim.limit(max_rows + 1).count() <= max_rows:
+        return big.join(F.broadcast(dim), key, how)
+    return salted_join(big, dim, key, how)
+
+
 def top_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int, out: str = "rank") -> DataFrame:
     """The first ``n`` rows of every group with their rank.
 

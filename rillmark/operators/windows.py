@@ -41,34 +41,46 @@ def popularity_percentile(df: DataFrame) -> DataFrame:
 
 
 def rolling_counts(
-    df: DataFrame, key: str, windows: dict[str, int], ts: str = "timestamp", bucket_seconds: int = 300
+    df: DataFrame, windows: dict[str, dict[str, int]], event_id: str = "event_id", ts: str = "timestamp",
+    bucket_seconds: int = 300,
 ) -> DataFrame:
-    """Add, for each named window in seconds, the key's events in [t - window, t] at every event.
+    """Events of each key in [t - window, t] at every event; returns the event id, the keys and the counts.
 
-    Each event enters with +1 and leaves with -1 just after its window; the count is the running total of these
-    marks. The marks of a key are summed inside short time buckets and carried across as one partial sum per bucket, so a
-    busy key is spread over its buckets and the window length does not change the work.
+    ``windows`` maps key column -> {output name: seconds}. Each event enters its key's history with +1 and leaves with -1 just
+    after the window; a count is the running total of these marks. Marks are summed inside short time buckets
+    and carried across as one partial sum per bucket, so a busy key is spread over its buckets and the window
+    length does not change the work. All keys and windows share one scan and one shuffle of narrow rows.
     """
-    have = df.columns
-    base = df.withColumn("_t", micros(ts)).withColumn("_own", F.lit(True))
-    marks = base
-    for name in windows:
-        marks = marks.withColumn(f"_d_{name}", F.lit(1))
-    for name, seconds in windows.items():
-        leave = base.select(key, (F.col("_t") + F.lit(int(seconds) * _US + 1)).alias("_t"), F.lit(False).alias("_own"))
-        leave = leave.groupBy(key, "_t", "_own").agg((-F.count("*")).alias(f"_d_{name}"))
-        marks = marks.unionByName(leave, allowMissingColumns=True)
+    names = [n for per_key in windows.values() for n in per_key]
+    t = micros(ts)
+
+    def mark(key: str, at: Column, own: bool, changed: dict[str, int]) -> Column:
+        return F.struct(
+            F.lit(key).alias("_kind"), F.col(key).cast("string").alias("_key"), at.alias("_t"),
+            (F.col(event_id) if own else F.lit(None)).alias("_id"),
+            *[F.lit(changed.get(n, 0)).alias(f"_d_{n}") for n in names],
+        )
+
+    marks = []
+    for key, per_key in windows.items():
+        marks.append(mark(key, t, True, dict.fromkeys(per_key, 1)))
+        for name, seconds in per_key.items():
+            marks.append(mark(key, t + F.lit(int(seconds) * _US + 1), False, {name: -1}))
     width = F.lit(int(bucket_seconds) * _US)
-    marks = marks.withColumn("_b", F.floor(F.col("_t") / width).cast("bigint"))
-    inside = Window.partitionBy(key, "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = marks.groupBy(key, "_b").agg(*[F.sum(f"_d_{n}").alias(f"_s_{n}") for n in windows])
-    offsets = sums.select(key, "_b", *[F.sum(f"_s_{n}").over(earlier).alias(f"_o_{n}") for n in windows])
-    joined = marks.join(offsets, [key, "_b"])
-    for name in windows:
-        total = F.sum(f"_d_{name}").over(inside) + F.coalesce(F.col(f"_o_{name}"), F.lit(0))
-        joined = joined.withColumn(name, total)
-    return joined.where("_own").select(*have, *windows)
+    rows = df.select(F.inline(F.array(*marks))).withColumn("_b", F.floor(F.col("_t") / width).cast("bigint"))
+    group = ["_kind", "_key"]
+    inside = Window.partitionBy(*group, "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*group, "_b").agg(*[F.sum(f"_d_{n}").alias(f"_s_{n}") for n in names])
+    offsets = sums.select(*group, "_b", *[F.sum(f"_s_{n}").over(earlier).alias(f"_o_{n}") for n in names])
+    counted = rows.join(offsets, [*group, "_b"]).select(
+        *group, "_id",
+        *[(F.sum(f"_d_{n}").over(inside) + F.coalesce(F.col(f"_o_{n}"), F.lit(0))).alias(n) for n in names],
+    ).where(F.col("_id").isNotNull())
+    return counted.groupBy(F.col("_id").alias(event_id)).agg(
+        *[F.max(F.when(F.col("_kind") == key, F.col("_key"))).alias(key) for key in windows],
+        *[F.max(F.when(F.col("_kind") == key, F.col(n))).alias(n) for key, per_key in windows.items() for n in per_key],
+    )
 
 
 def interaction_sequence(df: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:

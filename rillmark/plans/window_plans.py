@@ -44,9 +44,10 @@ def popularity_percentile(spark, root):
         AS item_popularity_1h
     FROM ev"""))
 def rolling_counts(spark, root):
-    df = valid_events(spark, root).select("event_id", "user_id", "item_id", "timestamp")
-    df = wn.rolling_counts(df, "user_id", {"user_event_count_1h": 3600, "user_event_count_24h": 86_400})
-    return wn.rolling_counts(df, "item_id", {"item_popularity_1h": 3600}).drop("timestamp")
+    return wn.rolling_counts(valid_events(spark, root), {
+        "user_id": {"user_event_count_1h": 3600, "user_event_count_24h": 86_400},
+        "item_id": {"item_popularity_1h": 3600},
+    })
 
 
 _SEQ_SQL = """
