@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.functions.columns import dot, id_prefix, jaccard
-from rillmark.operators.scale import salted_join, top_per_group
+from rillmark.operators.scale import running_total, salted_join, top_per_group, value_pieces
 
 # Fixed values of the dampening rule: percentile bounds (exclusive) and the percentile of unknown items.
 POPULAR_ABOVE, RARE_BELOW, UNKNOWN_PERCENTILE = 0.90, 0.30, 0.5
@@ -24,6 +24,16 @@ def top_items(df: DataFrame, k: int, out: str = "rank") -> DataFrame:
     return top_per_group(df, ["user_id"], [F.desc("score"), F.asc("item_id")], k, out)
 
 
+def ranked_lists(df: DataFrame, steps: int = 64) -> DataFrame:
+    """Every user's whole list numbered by score (ties by item id), with no bound on its length.
+
+    Scores are cut into ranges so that a long list is numbered in pieces.
+    """
+    placed = value_pieces(df.withColumn("_neg", -F.col("score")), "_neg", "_b", steps)
+    numbered = running_total(placed, ["user_id"], "_b", ["_neg", "item_id"], F.lit(1), "rank")
+    return numbered.drop("_neg", "_b")
+
+
 def normalised(df: DataFrame) -> DataFrame:
     """Score divided by the user's best score (by 1 if that is not positive)."""
     best = df.groupBy("user_id").agg(F.max("score").alias("_m"))

@@ -2,7 +2,11 @@
 
 from rillmark.plans import (  # noqa: F401
     event_plans,
+    experiment_plans,
     feature_plans,
+    model_plans,
+    quality_plans,
+    ranking_plans,
     training_plans,
     window_plans,
 )
