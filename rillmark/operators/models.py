@@ -155,17 +155,23 @@ def fold_in_rhs(interactions: DataFrame, factors: DataFrame) -> DataFrame:
         "user_id", vector_to_array("_b").alias("rhs"))
 
 
-def fold_in(interactions: DataFrame, factors: DataFrame, reg: float = 0.1) -> DataFrame:
-    """New user factors with item factors held fixed: (YtY + reg I)^-1 Yt r per user.
-
-    The k x k inverse is the only thing that passes through the driver. Users without a known item get a zero vector.
-    """
-    cells = gram_matrix(factors).collect()  # k * k rows, k = rank of the factors
+def gram_inverse(factors: DataFrame, reg: float = 0.1) -> np.ndarray:
+    """(YtY + reg I)^-1. Its k x k cells, k being the rank of the factors, are all that reaches the driver."""
+    cells = gram_matrix(factors).collect()
     k = 1 + max(c["i"] for c in cells)
     gram = np.zeros((k, k))
     for c in cells:
         gram[c["i"], c["j"]] = c["value"]
-    inverse = np.linalg.inv(gram + reg * np.eye(k))
+    return np.linalg.inv(gram + reg * np.eye(k))
+
+
+def fold_in(interactions: DataFrame, factors: DataFrame, reg: float = 0.1, inverse: np.ndarray | None = None) -> DataFrame:
+    """New user factors with item factors held fixed: (YtY + reg I)^-1 Yt r per user.
+
+    ``inverse`` may be passed in where many batches meet the same item factors. Users without a known item get a
+    zero vector.
+    """
+    inverse = gram_inverse(factors, reg) if inverse is None else inverse
 
     @F.pandas_udf("array<double>")
     def solve(rhs: pd.Series) -> pd.Series:
@@ -175,7 +181,7 @@ def fold_in(interactions: DataFrame, factors: DataFrame, reg: float = 0.1) -> Da
 
     solved = fold_in_rhs(interactions, factors).select("user_id", solve("rhs").alias("features"))
     users = interactions.select("user_id").distinct()
-    zero = F.array_repeat(F.lit(0.0), k)
+    zero = F.array_repeat(F.lit(0.0), len(inverse))
     return users.join(solved, "user_id", "left").select("user_id", F.coalesce("features", zero).alias("features"))
 
 

@@ -7,6 +7,7 @@ from rillmark.plans import (  # noqa: F401
     model_plans,
     quality_plans,
     ranking_plans,
+    stream_plans,
     training_plans,
     window_plans,
 )

@@ -56,13 +56,22 @@ def write_versioned(df: DataFrame, root: str, version: str) -> str:
     return path
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Newest dataset version by name, from folder names only; no data file is read."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/version=*")
+def list_values(spark: SparkSession, root: str, column: str) -> list[str]:
+    """Values of a partition column, from folder names only; no data file is read."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{column}=*")
     fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(fs_path)
-    names = [s.getPath().getName().split("=", 1)[1] for s in (found or [])]
-    return max(names) if names else None
+    return [s.getPath().getName().split("=", 1)[1] for s in (found or [])]
+
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).isDirectory()
+
+
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """Newest dataset version by name."""
+    return max(list_values(spark, root, "version"), default=None)
 
 
 def read_version(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
