@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,14 +60,14 @@ def _type_of(df: DataFrame, name: str):
     return df.schema[name].dataType if name in df.columns else None
 
 
-def rejection_reasons() -> Column:
-    """Array of the rules an event breaks; empty for a valid event."""
+def _broken_rules() -> dict[str, Column]:
+    """Rule name -> condition that is true (never null) when the event breaks it."""
     def blank(name: str) -> Column:
         return F.coalesce(F.length(F.col(name)) == 0, F.lit(True))
 
     kind, rating = F.col("event_type"), F.col("rating")
     is_rating = F.coalesce(kind == "rating", F.lit(False))
-    rules = {
+    return {
         "user_id_empty": blank("user_id"),
         "item_id_empty": blank("item_id"),
         "event_type_unknown": ~F.coalesce(kind.isin(*EVENT_TYPES), F.lit(False)),
@@ -73,13 +76,21 @@ def rejection_reasons() -> Column:
         "rating_out_of_range": rating.isNotNull() & ~rating.between(RATING_MIN, RATING_MAX),
         "timestamp_missing": F.col("timestamp").isNull(),
     }
-    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
+
+
+def rejection_reasons() -> Column:
+    """Array of the rules an event breaks; empty for a valid event."""
+    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in _broken_rules().items()]))
+
+
+def is_rejected() -> Column:
+    """True when any rule is broken: a plain condition that compiles into the scan's code."""
+    return reduce(or_, _broken_rules().values())
 
 
 def validate_events(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split into (valid, rejected); rejected rows carry ``reasons``."""
-    checked = df.withColumn("reasons", rejection_reasons())
-    return checked.where(F.size("reasons") == 0).drop("reasons"), checked.where(F.size("reasons") > 0)
+    """Split into (valid, rejected); rejected rows carry ``reasons``, which are built for those rows only."""
+    return df.where(~is_rejected()), df.where(is_rejected()).withColumn("reasons", rejection_reasons())
 
 
 def validate_served(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -76,6 +76,23 @@ def dense_index(df: DataFrame, key: str, out: str) -> DataFrame:
     return numbered.select(key, (F.col("_n") - 1).cast("bigint").alias(out))
 
 
+def smallest_by_hash(df: DataFrame, hashed: str, n: Column, ties: Sequence[str]) -> DataFrame:
+    """The ``n`` rows (a scalar column) with the smallest values of a uniform 32-bit hash, ties by further columns.
+
+    A histogram over the hash's leading 20 bits finds the slice in which the n-th row lies. Rows below it are kept by a
+    filter; only the rows of that one slice are ordered. ``df`` is read several times, so it should be stored.
+    """
+    placed = df.withColumn("_b", F.shiftright(hashed, 12))
+    hist = placed.groupBy("_b").agg(F.count("*").alias("_c"))
+    earlier = Window.orderBy("_b").rowsBetween(_FIRST, -1)  # at most 2^20 rows
+    starts = hist.select("_b", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_start"))
+    edge = starts.where(F.col("_start") < n).groupBy().agg(F.max(F.struct("_b", "_start")).alias("e")).scalar()
+    below = placed.where(F.col("_b") < edge["_b"])
+    inside = placed.where(F.col("_b") == edge["_b"]).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("_b").orderBy(hashed, *ties)))
+    return below.unionByName(inside.where(F.col("_rn") <= n - edge["_start"]).drop("_rn")).drop("_b")
+
+
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float], pieces: int = 64
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.functions.columns import hex_int, sha_hex, sha_int
-from rillmark.operators.scale import dense_index, running_total
+from rillmark.operators.scale import dense_index, smallest_by_hash
 from rillmark.session import checkpointed
 from rillmark.sources.store import write_versioned
 
@@ -35,29 +35,30 @@ def positives(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame
     return with_features(pairs, users, items).withColumn("label", F.lit(1))
 
 
-def sample_negatives(pairs: DataFrame, items: DataFrame, ratio: int = 4, seed: int = 42) -> DataFrame:
+def sample_negatives(pairs: DataFrame, items: DataFrame | None = None, ratio: int = 4, seed: int = 42) -> DataFrame:
     """Distinct unobserved (user, item) pairs, ``ratio`` times as many as the observed ones if that many are drawn.
 
-    Every observed pair draws 2*ratio items by hash (eight draws per SHA-256), observed and repeated pairs are
-    removed, and the pairs with the smallest hash are kept. The cut is exact and global: pairs are counted by hash prefix, which is
-    uniform, so no global sort is needed.
+    Every observed pair draws 2*ratio numbers by hash (eight 32-bit numbers per SHA-256); a number modulo the count of items names an
+    item, and the number itself is the draw's place in the order. One grouping by (user, item number) removes
+    repeats and drops the observed pairs, which take part with a mark. The candidates are stored once, and those with
+    the smallest place are kept: an exact global cut without a global sort. ``items`` defaults to the items of the pairs.
     """
-    pairs = pairs.select("user_id", "item_id").distinct()
-    indexed = dense_index(items, "item_id", "idx")
-    n_items = items.select("item_id").distinct().groupBy().agg(F.count("*").alias("n")).scalar()
+    pairs = checkpointed(pairs.select("user_id", "item_id").distinct(), "pairs")
+    indexed = checkpointed(dense_index(pairs if items is None else items, "item_id", "idx"), "item-index")
+    n_items = indexed.groupBy().agg(F.count("*").alias("n")).scalar()
     draws, blocks = 2 * ratio, -(-2 * ratio // DRAWS_PER_HASH)
-    drawn = pairs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
-        "_h", sha_hex("user_id", "item_id", F.col("block").cast("string"), F.lit(str(seed))))
-    slots = [hex_int(F.col("_h"), 1 + 8 * j) for j in range(min(draws, DRAWS_PER_HASH))]
-    drawn = drawn.select("user_id", "block", F.posexplode(F.array(*slots)).alias("j", "_v")).where(
-        F.col("block") * DRAWS_PER_HASH + F.col("j") < draws
-    ).select("user_id", (F.col("_v") % n_items).alias("idx")).distinct()
-    unseen = drawn.join(indexed, "idx").select("user_id", "item_id").join(pairs, ["user_id", "item_id"], "left_anti")
+    hashed, numbers = pairs.join(indexed, "item_id"), []
+    for block in range(blocks):
+        hashed = hashed.withColumn(f"_h{block}", sha_hex("user_id", "item_id", F.lit(str(block)), F.lit(str(seed))))
+        numbers += [hex_int(F.col(f"_h{block}"), 1 + 8 * j) for j in range(min(DRAWS_PER_HASH, draws - block * DRAWS_PER_HASH))]
+    # An observed pair takes part with place -1, below every draw.
+    own = hashed.select("user_id", "idx", F.lit(-1).cast("bigint").alias("place"))
+    drawn = hashed.select("user_id", F.explode(F.array(*numbers)).alias("place")).select(
+        "user_id", (F.col("place") % n_items).alias("idx"), "place")
+    unseen = drawn.unionByName(own).groupBy("user_id", "idx").agg(F.min("place").alias("place")).where("place >= 0")
     wanted = pairs.groupBy().agg((F.count("*") * ratio).alias("n")).scalar()
-    hashed = unseen.withColumn("_h", sha_hex("user_id", "item_id", F.lit(str(seed)))).withColumn(
-        "_b", F.substring("_h", 1, 4))
-    ranked = running_total(hashed, [], "_b", ["_h"], F.lit(1), "_n")
-    return ranked.where(F.col("_n") <= wanted).select("user_id", "item_id")
+    kept = smallest_by_hash(checkpointed(unseen, "negative-candidates"), "place", wanted, ["user_id", "idx"])
+    return kept.join(indexed, "idx").select("user_id", "item_id")
 
 
 def negatives_with_features(negatives: DataFrame, users: DataFrame, items: DataFrame, like: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from rillmark.operators import models as ml
 from rillmark.operators import recommend as rc
 from rillmark.operators import training as tr
 from rillmark.operators import windows as wn
-from rillmark.plans.event_plans import AS_OF, valid_events
+from rillmark.plans.event_plans import valid_events
 from rillmark.plans.registry import query, with_views
+from rillmark.plans.training_plans import feature_tables
 from rillmark.session import checkpointed
 from rillmark.sources.adapters import item_categories, item_factors, table
 
@@ -17,13 +18,6 @@ def pair_counts(spark, root):
     return valid_events(spark, root).groupBy("user_id", "item_id").agg(F.count("*").alias("interaction_count"))
 
 
-def stored_features(spark, root):
-    """Pair, user and item features, each written once and read back, as the feature store holds them."""
-    df = valid_events(spark, root)
-    return (checkpointed(ft.pair_features(df, AS_OF), "pairs"), checkpointed(ft.user_features(df), "users"),
-            checkpointed(ft.item_features(df), "items"))
-
-
 @query("indexed_pairs", with_views("ev", """
     WITH p AS (SELECT user_id, item_id, count(*) AS interaction_count FROM ev GROUP BY 1, 2),
     u AS (SELECT user_id, row_number() OVER (ORDER BY sha256(user_id)) - 1 AS user_index FROM (SELECT DISTINCT user_id FROM p)),
@@ -48,7 +42,7 @@ def trained_ranker(pairs, users, items):
 
 @query("ranker_scores")
 def ranker_scores(spark, root):
-    pairs, users, items = stored_features(spark, root)
+    pairs, users, items = feature_tables(valid_events(spark, root))
     rows = checkpointed(tr.split(tr.build_training_set(pairs, users, items)), "training")
     model = ml.train_ranker(rows.where("split = 'train'"))
     return ml.score(model, rows.where("split <> 'train'")).select(
@@ -58,7 +52,7 @@ def ranker_scores(spark, root):
 @query("recommend_all")
 def recommend_all(spark, root):
     events = valid_events(spark, root)
-    pairs, users, items = stored_features(spark, root)
+    pairs, users, items = feature_tables(valid_events(spark, root))
     indexed = checkpointed(ml.index_pairs(pairs.select("user_id", "item_id", "interaction_count")), "indexed")
     candidates = checkpointed(ml.als_candidates(ml.train_als(indexed), indexed, 100), "candidates")
     return rc.recommend_all(

@@ -6,12 +6,15 @@ from rillmark.operators import features as ft
 from rillmark.operators import training as tr
 from rillmark.plans.event_plans import AS_OF, order_interactions, valid_events
 from rillmark.plans.registry import query, with_views
+from rillmark.session import checkpointed
 
 SEED = 42
 
 
 def feature_tables(df):
-    return ft.pair_features(df, AS_OF), ft.user_features(df), ft.item_features(df)
+    """Pair, user and item features, each written once and read back, as a feature store holds them."""
+    return (checkpointed(ft.pair_features(df, AS_OF), "pairs"), checkpointed(ft.user_features(df), "users"),
+            checkpointed(ft.item_features(df), "items"))
 
 
 _H = "CAST(('0x' || substr({h}, {at}, 8)) AS BIGINT)"
@@ -25,24 +28,24 @@ def _negatives_ctes(view):
     p AS (SELECT DISTINCT user_id, item_id FROM {view}),
     n AS (SELECT item_id, row_number() OVER (ORDER BY sha256(item_id)) - 1 AS idx
           FROM (SELECT DISTINCT item_id FROM p)),
-    d AS (SELECT DISTINCT p.user_id, {draw} % (SELECT count(*) FROM n) AS idx FROM p, range(8) t(j)),
-    c AS (SELECT d.user_id, n.item_id FROM d JOIN n ON d.idx = n.idx ANTI JOIN p
+    d AS (SELECT user_id, v % (SELECT count(*) FROM n) AS idx, min(v) AS place
+          FROM (SELECT p.user_id, {draw} AS v FROM p, range(8) t(j)) GROUP BY 1, 2),
+    c AS (SELECT d.user_id, n.item_id, d.idx, place FROM d JOIN n ON d.idx = n.idx ANTI JOIN p
           ON p.user_id = d.user_id AND p.item_id = n.item_id),
     neg AS (SELECT user_id, item_id FROM c
-            QUALIFY row_number() OVER (ORDER BY sha256(concat_ws(':', user_id, item_id, '{SEED}')))
-                    <= 4 * (SELECT count(*) FROM p))"""
+            QUALIFY row_number() OVER (ORDER BY place, user_id, idx) <= 4 * (SELECT count(*) FROM p))"""
 
 
 @query("negatives", with_views("ev", f"WITH {_negatives_ctes('ev')} SELECT user_id, item_id FROM neg"))
 def negatives(spark, root):
     df = valid_events(spark, root)
-    return tr.sample_negatives(df, df, 4, SEED)
+    return tr.sample_negatives(df, None, 4, SEED)
 
 
 @query("negatives_orders", with_views("li", f"WITH {_negatives_ctes('li')} SELECT user_id, item_id FROM neg"))
 def negatives_orders(spark, root):
     df = order_interactions(spark, root)
-    return tr.sample_negatives(df, df, 4, SEED)
+    return tr.sample_negatives(df, None, 4, SEED)
 
 
 _FEATURES = f"""
@@ -118,7 +121,7 @@ def _h(*parts):
 def split_sets(spark, root):
     df = order_interactions(spark, root)
     pos = df.select("user_id", "item_id").distinct().withColumn("label", F.lit(1))
-    neg = tr.sample_negatives(df, df, 4, SEED).withColumn("label", F.lit(0))
+    neg = tr.sample_negatives(df, None, 4, SEED).withColumn("label", F.lit(0))
     return tr.split(pos.unionByName(neg), seed=SEED).groupBy("split", "label").agg(F.count("*").alias("pairs"))
 
 

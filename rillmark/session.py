@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 import uuid
 
@@ -26,15 +26,23 @@ def local_session(cpus: str | int = "*", memory: str = "8g") -> SparkSession:
     return spark
 
 
+@functools.cache
+def _unshared_dir() -> str:
+    """One temporary folder per process, for sessions that name no shared one (tests on one machine)."""
+    return tempfile.mkdtemp(prefix="rillmark-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
+    """A new folder below ``spark.checkpoint.dir``, the shared folder the cluster names.
 
-    The cluster names that shared folder; a temporary one is set only where the setting is absent.
+    Only a local session may go without that setting; on a cluster a machine's own temporary folder would not be seen by the
+    other executors, so the missing setting is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="rillmark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = _unshared_dir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -47,7 +55,3 @@ def checkpointed(df, name: str):
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", os.environ.get("RILLMARK_PARTITIONS", "200")))

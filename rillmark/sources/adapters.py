@@ -10,12 +10,24 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table of fewer splits than cores over the cores; a table with enough splits is left alone.
+
+    A small file is one split, and everything up to the first shuffle would run in one task. The hash keys are
+    unique-like, so no task gets a hot value.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_events(spark: SparkSession, root: str) -> DataFrame:
     """The event log in the event layout; types outside the contract are kept for validation to reject."""
     k = F.get_json_object("props", "$.k")
     kind = F.when(F.col("event_type") == "purchase", "rating").otherwise(F.col("event_type"))
     rating = F.when(F.col("event_type") == "purchase", F.lit(1.0) + F.lit(0.5) * (F.col("event_id") % 9))
-    return table(spark, root, "events").select(
+    return spread(table(spark, root, "events"), "event_id").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id"),
         F.concat(F.lit("item_"), k).alias("item_id"),
@@ -29,7 +41,7 @@ def raw_events(spark: SparkSession, root: str) -> DataFrame:
 
 def order_events(spark: SparkSession, root: str) -> DataFrame:
     """Order lines in the event layout: customer = user, part = item, return flag = kind of event."""
-    lines = table(spark, root, "lineitem").select(
+    lines = spread(table(spark, root, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
