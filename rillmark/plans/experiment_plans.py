@@ -7,6 +7,7 @@ from rillmark.operators import profiles as pr
 from rillmark.operators.events import explode_served
 from rillmark.plans.event_plans import served_records, valid_events
 from rillmark.plans.registry import VIEWS, _NEEDS, query, with_views
+from rillmark.session import checkpointed
 from rillmark.sources.adapters import raw_events, table
 
 # Experiments stand on the nation table, requests on the event log: every event is a request of its user, and every
@@ -72,12 +73,13 @@ def recorded(spark, root):
     split = F.lit("2024-01-15").cast("timestamp")
     none = rows.where(F.lit(False))
     existing = ex.sticky(rows.where(F.col("assigned_at") < split), none)
-    return ex.sticky(rows.where(F.col("assigned_at") >= split), existing)
+    # Assignments are a stored table: they are written once and read from there.
+    return checkpointed(ex.sticky(rows.where(F.col("assigned_at") >= split), existing), "assignments")
 
 
-def attributed(spark, root):
+def attributed(spark, root, assignments=None):
     ev = valid_events(spark, root).select("event_id", "user_id", "item_id", "event_type", "timestamp", "rating")
-    return ex.attribute(ev, recorded(spark, root))
+    return ex.attribute(ev, recorded(spark, root) if assignments is None else assignments)
 
 
 @query("active_experiment", with_views("newest", """
@@ -131,9 +133,10 @@ def attributed_events(spark, root):
     FROM m JOIN s ON m.experiment_id = s.experiment_id AND m.grp = s.grp"""))
 def experiment_metrics(spark, root):
     name = F.when(F.col("event_type") == "rating", "rating_sum").otherwise(F.col("event_type"))
-    events = attributed(spark, root).select(
+    stored = recorded(spark, root)
+    events = attributed(spark, root, stored).select(
         "experiment_id", "group", name.alias("metric_name"), F.coalesce("rating", F.lit(1.0)).alias("metric_value"))
-    return ex.metrics(recorded(spark, root), events)
+    return ex.metrics(stored, events)
 
 
 _CTR = """count(*) AS events, count(*) FILTER (event_type = 'view') AS views,
@@ -173,7 +176,8 @@ def group_ctr_daily(spark, root):
     SELECT experiment_id, round(chi2, 6) AS chi2, round(p, 6) AS p_value, round(1.0 - p, 6) AS confidence,
            p < 0.05 AS significant FROM p"""))
 def ab_chi2(spark, root):
-    counts = ex.user_conversions(recorded(spark, root), attributed(spark, root))
+    stored = recorded(spark, root)
+    counts = ex.user_conversions(stored, attributed(spark, root, stored))
     return ex.chi2(counts).select("experiment_id", *[F.round(c, 6).alias(c) for c in ("chi2", "p_value", "confidence")],
                                   "significant")
 

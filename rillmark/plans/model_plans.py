@@ -112,12 +112,13 @@ def embedding_shift(spark, root):
     return ml.embedding_shift(base, moved, "item_id").withColumn("cosine", F.round("cosine", 6))
 
 
-# Metric tables of two versions per market segment: mean balance of all customers, and of those with open orders.
+# Metric tables of two versions per market segment: mean balance of all customers, and of those with open orders. Metrics
+# are rounded when they are recorded, so equal ones compare as equal.
 @query("promotion_decision", """
-    WITH cur AS (SELECT c_mktsegment AS model, avg(c_acctbal) AS v FROM customer GROUP BY 1),
-    cand AS (SELECT c_mktsegment AS model, avg(c_acctbal) AS v FROM customer WHERE c_custkey IN
+    WITH cur AS (SELECT c_mktsegment AS model, round(avg(c_acctbal), 6) AS v FROM customer GROUP BY 1),
+    cand AS (SELECT c_mktsegment AS model, round(avg(c_acctbal), 6) AS v FROM customer WHERE c_custkey IN
              (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O') GROUP BY 1)
-    SELECT cand.model, round(cand.v, 6) AS candidate_value, round(cur.v, 6) AS current_value,
+    SELECT cand.model, cand.v AS candidate_value, cur.v AS current_value,
            CASE WHEN cur.v IS NULL OR cand.v > cur.v THEN 'promote' ELSE 'keep' END AS decision
     FROM cand LEFT JOIN cur USING (model)""")
 def promotion_decision(spark, root):
@@ -125,8 +126,7 @@ def promotion_decision(spark, root):
     busy = table(spark, root, "orders").where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("c_custkey"))
 
     def measured(df):
-        return df.groupBy("model").agg(F.avg("c_acctbal").alias("value")).withColumn("metric_name", F.lit("ndcg"))
+        return df.groupBy("model").agg(F.round(F.avg("c_acctbal"), 6).alias("value")).withColumn("metric_name", F.lit("ndcg"))
 
     out = ml.promotion_decision(measured(c), measured(c.join(busy, "c_custkey", "left_semi")), "ndcg")
-    return out.select("model", F.round("candidate_value", 6).alias("candidate_value"),
-                      F.round("current_value", 6).alias("current_value"), "decision")
+    return out.select("model", "candidate_value", "current_value", "decision")

@@ -8,7 +8,7 @@ from rillmark.operators import windows as wn
 from rillmark.operators.scale import exact_percentiles
 from rillmark.plans.event_plans import AS_OF
 from rillmark.plans.registry import VIEWS, query, with_views
-from rillmark.sources.adapters import order_events, raw_events, table
+from rillmark.sources.adapters import fact_table, raw_events, table
 
 # Service metrics from the event log: one request per event.
 VIEWS["http"] = """
@@ -24,7 +24,7 @@ VIEWS["http"] = """
 def http(spark, root):
     k = F.get_json_object("props", "$.k").cast("bigint")
     kind = F.col("event_type")
-    return table(spark, root, "events").select(
+    return fact_table(spark, root, "events", "event_id").select(
         "event_id", F.col("ts").cast("timestamp").alias("timestamp"), k.alias("k"), F.col("value").alias("latency_ms"),
         F.concat(F.lit("svc_"), (k % 5).cast("string")).alias("service"),
         F.concat(F.lit("/e/"), k.cast("string")).alias("endpoint"),
@@ -102,6 +102,10 @@ def _halves(df, ts):
     return df.where(F.col(ts) < at), df.where(F.col(ts) >= at)
 
 
+def lines(spark, root):
+    return fact_table(spark, root, "lineitem", "l_orderkey", "l_partkey", "l_suppkey")
+
+
 _DRIFT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _DRIFT = f"""
     WITH l AS (SELECT l_shipdate < TIMESTAMP '{_SHIP}' AS old, unnest({_DRIFT_COLS}) AS column_name,
@@ -122,13 +126,13 @@ _DRIFT = f"""
     SELECT column_name, round(sum((cs - rs) * ln(cs / rs)), 6) AS psi, sum((cs - rs) * ln(cs / rs)) >= 0.2 AS drifted
     FROM f GROUP BY 1""")
 def drift_psi(spark, root):
-    ref, cur = _halves(table(spark, root, "lineitem"), "l_shipdate")
+    ref, cur = _halves(lines(spark, root), "l_shipdate")
     return _round(dq.drift(ref, cur, _DRIFT_COLS).select("column_name", "psi", "drifted"), "psi")
 
 
 @query("drift_ks", _DRIFT + " SELECT column_name, round(max(gap), 6) AS ks FROM f GROUP BY 1")
 def drift_ks(spark, root):
-    ref, cur = _halves(table(spark, root, "lineitem"), "l_shipdate")
+    ref, cur = _halves(lines(spark, root), "l_shipdate")
     return _round(dq.drift(ref, cur, _DRIFT_COLS).select("column_name", "ks"), "ks")
 
 
@@ -138,7 +142,7 @@ def drift_ks(spark, root):
            round(count(*) FILTER (d) / CAST(count(*) AS DOUBLE), 6) AS drift_share,
            count(*) FILTER (d) / CAST(count(*) AS DOUBLE) >= 0.5 AS dataset_drift FROM p""")
 def dataset_drift(spark, root):
-    ref, cur = _halves(table(spark, root, "lineitem"), "l_shipdate")
+    ref, cur = _halves(lines(spark, root), "l_shipdate")
     return _round(dq.dataset_drift(dq.drift(ref, cur, _DRIFT_COLS)), "drift_share")
 
 
@@ -285,7 +289,3 @@ def retrain_decision(spark, root):
     stats = stats.select(F.col("d").cast("string").alias("day"), "new_events", "drift_score",
                          ((F.dayofmonth("d") % 3) * 24).cast("double").alias("hours_since"))
     return mo.retrain_decision(stats, mo.RetrainRule(340, 0.21, 48.0))
-
-
-def line_frame(spark, root):
-    return order_events(spark, root)

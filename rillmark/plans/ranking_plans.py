@@ -16,7 +16,7 @@ SPLIT = "2024-01-20"
 # Scored pairs: how often a user met an item in the order lines, plus a share of the part's price. Predictions: the
 # items of the log's first part by frequency; actuals: what the user clicked or rated later.
 VIEWS["scored"] = """
-    SELECT user_id, item_id, CAST(count(*) AS DOUBLE) + avg(p_retailprice) / CAST(7919 AS DOUBLE) AS score
+    SELECT user_id, item_id, CAST(count(*) AS DOUBLE) + any_value(p_retailprice) / CAST(7919 AS DOUBLE) AS score
     FROM li JOIN part ON item_id = 'item_' || p_partkey GROUP BY 1, 2"""
 VIEWS["pred"] = f"""
     SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, item_id) AS rank FROM

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,16 +12,24 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table of fewer splits than cores over the cores; a table with enough splits is left alone.
+@functools.lru_cache(maxsize=256)
+def _splits(spark: SparkSession, path: str) -> int:
+    """Number of input splits of a table; looked up once per path, as it only steers the parallelism."""
+    return spark.read.parquet(path).rdd.getNumPartitions()
+
+
+def fact_table(spark: SparkSession, root: str, name: str, *keys: str) -> DataFrame:
+    """A large table, spread over the cores if it has fewer splits than there are cores.
 
-    A small file is one split, and everything up to the first shuffle would run in one task. The hash keys are
-    unique-like, so no task gets a hot value.
+    A small file is one split, and everything up to the first shuffle would run in one task. A table with enough splits
+    is left alone. The hash keys are unique-like, so no task gets a hot value.
     """
+    df = table(spark, root, name)
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    cores = spark.sparkContext.defaultParallelism
+    few = _splits(spark, f"{root.rstrip('/')}/{name}.parquet") < cores
+    return df.repartition(cores, *keys) if few else df
 
 
 def raw_events(spark: SparkSession, root: str) -> DataFrame:
@@ -27,7 +37,7 @@ def raw_events(spark: SparkSession, root: str) -> DataFrame:
     k = F.get_json_object("props", "$.k")
     kind = F.when(F.col("event_type") == "purchase", "rating").otherwise(F.col("event_type"))
     rating = F.when(F.col("event_type") == "purchase", F.lit(1.0) + F.lit(0.5) * (F.col("event_id") % 9))
-    return spread(table(spark, root, "events"), "event_id").select(
+    return fact_table(spark, root, "events", "event_id").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id"),
         F.concat(F.lit("item_"), k).alias("item_id"),
@@ -41,7 +51,7 @@ def raw_events(spark: SparkSession, root: str) -> DataFrame:
 
 def order_events(spark: SparkSession, root: str) -> DataFrame:
     """Order lines in the event layout: customer = user, part = item, return flag = kind of event."""
-    lines = spread(table(spark, root, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey").select(
+    lines = fact_table(spark, root, "lineitem", "l_orderkey", "l_partkey", "l_suppkey").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )

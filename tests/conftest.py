@@ -12,8 +12,8 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "4g")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session = local_session(8, "4g")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 

