@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillmark.functions.columns import jaccard
 from rillmark.operators.scale import running_total, value_pieces
 
-# Largest number of categories an item may have in `list_diversity`; more is an error, not a silent cut.
-MAX_CATEGORIES = 12
+# Up to this many categories per item, `list_diversity` counts category subsets; lists with a wider item compare their
+# distinct category sets instead.
+SUBSET_CATEGORIES = 8
 
 
 def _marked_hits(preds: DataFrame, actuals: DataFrame) -> DataFrame:
@@ -80,21 +82,26 @@ def list_diversity(preds: DataFrame) -> DataFrame:
     categories and contain the category set S, the number of item pairs sharing at least S is n(S, a) * n(S, b);
     inclusion-exclusion turns these into the number sharing exactly c categories, and the Jaccard of such a pair is
     c / (a + b - c). Everything is therefore a weighted sum of products of counts, linear in the list length.
+
+    Subsets grow with 2^categories, so lists that hold an item of many categories take another exact way: their
+    distinct category sets, with counts, are compared with each other.
     """
     cats = F.array_sort(F.array_distinct(F.coalesce("categories", F.array().cast("array<string>"))))
     sized = preds.select("user_id", cats.alias("_cats")).withColumn("_a", F.size("_cats"))
     # Equal category sets are counted together first.
     counted = sized.groupBy("user_id", "_cats", "_a").agg(F.count("*").alias("_n"))
     totals = counted.groupBy("user_id").agg(
-        F.sum("_n").alias("n"), F.sum(F.when(F.col("_a") > 0, F.col("_n")).otherwise(0)).alias("_self"))
-    checked = F.when(F.col("_a") > MAX_CATEGORIES, F.raise_error(F.lit(f"more than {MAX_CATEGORIES} categories")).cast(
-        "array<string>")).otherwise(F.col("_cats"))
+        F.sum("_n").alias("n"), F.sum(F.when(F.col("_a") > 0, F.col("_n")).otherwise(0)).alias("_self"),
+        F.max("_a").alias("_widest"))
+    wide_users = totals.where(F.col("_widest") > SUBSET_CATEGORIES).select("user_id")
+    narrow = counted.join(wide_users, "user_id", "left_anti")
+    wide = counted.join(wide_users, "user_id", "left_semi")
     start = F.array(F.array().cast("array<string>"))
-    subsets = F.aggregate(checked, start, lambda acc, c: F.concat(
+    subsets = F.aggregate("_cats", start, lambda acc, c: F.concat(
         acc, F.transform(acc, lambda s: F.concat(s, F.array(c)))))
-    by_set = counted.withColumn("_s", F.explode(subsets)).where(F.size("_s") > 0).groupBy("user_id", "_s", "_a").agg(
+    by_set = narrow.withColumn("_s", F.explode(subsets)).where(F.size("_s") > 0).groupBy("user_id", "_s", "_a").agg(
         F.sum("_n").cast("double").alias("_n"))
-    # At most MAX_CATEGORIES sizes per set.
+    # At most SUBSET_CATEGORIES sizes per set.
     sizes = by_set.groupBy("user_id", "_s").agg(F.collect_list(F.struct(F.col("_a").alias("a"), F.col("_n").alias("n"))).alias("_l"))
     j = F.size("_s")
 
@@ -105,7 +112,11 @@ def list_diversity(preds: DataFrame) -> DataFrame:
 
     similarity = F.aggregate("_l", F.lit(0.0), lambda acc, x: acc + F.aggregate(
         "_l", F.lit(0.0), lambda inner, y: inner + x["n"] * y["n"] * weight(x["a"], y["a"])))
-    shared = sizes.groupBy("user_id").agg(F.sum(similarity).alias("_sim"))
+    distinct = wide.groupBy("user_id").agg(F.collect_list(F.struct("_cats", F.col("_n").cast("double").alias("n"))).alias("_l"))
+    compared = F.aggregate("_l", F.lit(0.0), lambda acc, x: acc + F.aggregate(
+        "_l", F.lit(0.0), lambda inner, y: inner + x["n"] * y["n"] * jaccard(x["_cats"], y["_cats"])))
+    shared = sizes.groupBy("user_id").agg(F.sum(similarity).alias("_sim")).unionByName(
+        distinct.select("user_id", compared.alias("_sim")))
     pairs = F.col("n") * (F.col("n") - 1) / F.lit(2.0)
     alike = (F.coalesce("_sim", F.lit(0.0)) - F.col("_self")) / 2
     return totals.join(shared, "user_id", "left").select(
