@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rillmark.functions.columns import jaccard
 from rillmark.operators.scale import running_total, value_pieces
+from rillmark.session import checkpointed
 
 # Up to this many categories per item, `list_diversity` counts category subsets; lists with a wider item compare their
 # distinct category sets instead.
@@ -88,8 +89,8 @@ def list_diversity(preds: DataFrame) -> DataFrame:
     """
     cats = F.array_sort(F.array_distinct(F.coalesce("categories", F.array().cast("array<string>"))))
     sized = preds.select("user_id", cats.alias("_cats")).withColumn("_a", F.size("_cats"))
-    # Equal category sets are counted together first.
-    counted = sized.groupBy("user_id", "_cats", "_a").agg(F.count("*").alias("_n"))
+    # Equal category sets are counted together first, and stored, as several branches read them.
+    counted = checkpointed(sized.groupBy("user_id", "_cats", "_a").agg(F.count("*").alias("_n")), "category-sets")
     totals = counted.groupBy("user_id").agg(
         F.sum("_n").alias("n"), F.sum(F.when(F.col("_a") > 0, F.col("_n")).otherwise(0)).alias("_self"),
         F.max("_a").alias("_widest"))
