@@ -33,9 +33,9 @@ def popularity_percentile(df: DataFrame) -> DataFrame:
     counts = item_popularity(df)
     hist = counts.groupBy("popularity").agg(F.count("*").alias("items"))
     before = Window.orderBy("popularity").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = hist.select("popularity", F.coalesce(F.sum("items").over(before), F.lit(0)).alias("_below"))
-    total = hist.groupBy().agg(F.sum("items").alias("n")).scalar()
-    rest = total - F.lit(1)
+    ranked = hist.select("popularity", F.coalesce(F.sum("items").over(before), F.lit(0)).alias("_below"),
+                         F.sum("items").over(Window.partitionBy()).alias("_all"))
+    rest = F.col("_all") - F.lit(1)
     share = F.when(rest > 0, F.col("_below") / rest).otherwise(F.lit(0.0))
     return counts.join(ranked, "popularity").select("item_id", "popularity", share.alias("popularity_percentile"))
 
