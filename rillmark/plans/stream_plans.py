@@ -36,8 +36,19 @@ def valid_stream(spark, root):
 
 
 def _finish(start, spark, name, **kwargs):
+    """Run a finite stream to its end and return the folder of its result.
+
+    A stream keeps one state store per shuffle partition and opens all of them in every micro-batch, so there are no more of
+    them than two per core of this session.
+    """
     path, checkpoint = scratch_dir(spark, name), scratch_dir(spark, f"{name}-checkpoint")
-    start(path=path, checkpoint=checkpoint, once=True, **kwargs).awaitTermination()
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        start(path=path, checkpoint=checkpoint, once=True, **kwargs).awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
     return path
 
 
