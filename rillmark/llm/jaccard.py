@@ -39,9 +39,9 @@ def _frequencies(docs: DataFrame, n: int, bits: int) -> np.ndarray:
             yield pa.record_batch({"cell": pa.array(full + at, pa.int32()), "n": pa.array(part[full], pa.int64())})
 
     counted = docs.select("text").mapInArrow(count, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    found = counted.toPandas()
+    found = counted.toArrow()
     out = np.zeros(1 << bits, np.int64)
-    out[found["cell"].to_numpy()] = found["n"].to_numpy()
+    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     return out
 
 
