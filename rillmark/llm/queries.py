@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rillmark.llm.common import table
+from rillmark.llm.bytebpe import decode, encode
+from rillmark.llm.common import fold, table
 from rillmark.llm.jaccard import jaccard_components
+from rillmark.llm.langid import fit, identify
+from rillmark.llm.mixing import MIX_SQL, mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,3 +27,33 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are at least 0.9 similar."""
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's token ids and of the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = decode(encode(docs, path, public_tokenizers.PATTERN).drop("text"), path)
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; rows with crc32(doc_id) mod 4 = 2 are held out of the learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
+        "held_out", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)))
+    model = fit(docs.where("NOT held_out"))
+    return identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources with weights 5, 2, 1 in turn takes of every document."""
+    return mix(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_mix_sources"] = MIX_SQL
