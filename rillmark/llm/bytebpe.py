@@ -75,26 +75,19 @@ class Encoder:
         self.held = 0
 
     def _learn(self, parts: set[str]) -> None:
-        if self.held > CACHE_BYTES:
-            self.known, self.held = {}, 0
-        raw = {p: p.encode() for p in parts if p not in self.known}
+        raw = {p: p.encode() for p in parts}
         longer = [p for p, b in raw.items() if b not in self.whole]
         ids = dict(zip(longer, self.sp.encode([as_pieces(raw[p]) for p in longer], num_threads=1), strict=True))
         for p, b in raw.items():
             self.known[p] = np.array(ids.get(p) or [self.whole[b]], np.int32).tobytes()
             self.held += 6 * len(b)
 
-    def __call__(self, text: str) -> bytes:
-        parts = self.split(text)
-        try:
-            return b"".join([self.known[p] for p in parts])
-        except KeyError:
-            self._learn(set(parts) - self.known.keys())
-        try:
-            return b"".join([self.known[p] for p in parts])
-        except KeyError:  # the store was emptied meanwhile
-            self._learn(set(parts))
-            return b"".join([self.known[p] for p in parts])
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        split = [self.split(t) for t in texts]
+        if self.held > CACHE_BYTES:
+            self.known, self.held = {}, 0
+        self._learn({p for parts in split for p in parts if p not in self.known})
+        return [b"".join([self.known[p] for p in parts]) for parts in split]
 
 
 def _lists(parts: list[bytes], kind: np.dtype, to: pa.DataType) -> pa.Array:
@@ -120,7 +113,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [encoder(t.as_py() or "") for t in part.column(text)]
+                ids = encoder([t or "" for t in part.column(text).to_pylist()])
                 yield part.append_column(out, _lists(ids, np.dtype("<i4"), pa.int32()))
 
     return docs.mapInArrow(run, T.StructType(docs.schema.fields + [T.StructField(out, T.ArrayType(T.IntegerType()))]))
