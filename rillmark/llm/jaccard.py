@@ -85,18 +85,32 @@ def _full_sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(whole, "doc_id bigint, grams array<bigint>")
 
 
-def _may_link(x: str, y: str, percent: int) -> Column:
-    """Length, positional and suffix filter of a pair that shares a prefix shingle.
+def _long_enough(x: str, y: str, percent: int) -> Column:
+    """Length and positional filter of a pair that shares a prefix shingle."""
+    n, m, i, j = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.at"), F.col(f"{y}.at")
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & (1 + F.least(n - i - 1, m - j - 1) >= _least_overlap(n, m, percent)))
+
+
+def _least_overlap(n: Column, m: Column, percent: int) -> Column:
+    return F.floor((percent * (n + m) + (100 + percent - 1)) / F.lit(100 + percent))
+
 
-    The suffix filter bounds the symmetric difference from below: the order of shingles is split at fixed pivots into
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """All filters. The suffix filter bounds the symmetric difference from below: the order of shingles is split at fixed pivots into
     cells, and a cell whose two counts differ in parity holds at least one shingle of one side only.
     """
-    n, m, i, j = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.at"), F.col(f"{y}.at")
-    need = F.floor((percent * (n + m) + (100 + percent - 1)) / F.lit(100 + percent))  # least overlap of a link
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
     differ = sum((F.bit_count(F.get(f"{x}.cells", F.lit(k)).bitwiseXOR(F.get(f"{y}.cells", F.lit(k))))
                   for k in range(CELLS // 64)), F.lit(0))
-    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
-            & (1 + F.least(n - i - 1, m - j - 1) >= need) & (differ <= n + m - 2 * need))
+    return _long_enough(x, y, percent) & (differ <= n + m - 2 * _least_overlap(n, m, percent))
+
+
+def _with_partner(rows: DataFrame, filters, percent: int) -> DataFrame:
+    """Rows for which another document's row with the same shingle passes the filters; each at most once."""
+    x, y = rows.alias("x"), rows.alias("y")
+    return x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.doc_id") != F.col("y.doc_id"))
+                  & filters("x", "y", percent), "left_semi")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -136,12 +150,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, bits: int
     ones = stored(ones.dropDuplicates(["f1", "f2"]), "distinct-sets")
     rows = ones.select("doc_id", "n", F.posexplode("prefix").alias("at", "gram"))
     shared = rows.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    kept = rows.join(shared, "gram").join(ones.select("doc_id", "n", "cells"), ["doc_id", "n"])
-    kept = stored(kept, "shared-prefixes")
-    x, y = kept.alias("x"), kept.alias("y")
-    alive = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.doc_id") != F.col("y.doc_id"))
-                   & _may_link("x", "y", percent), "left_semi")
-    alive = stored(alive, "rows-with-partner")
+    kept = stored(rows.join(shared, "gram"), "shared-prefixes")
+    alive = stored(_with_partner(kept, _long_enough, percent), "rows-with-partner")
+    alive = alive.join(ones.select("doc_id", "n", "cells"), ["doc_id", "n"])
+    alive = stored(_with_partner(stored(alive, "rows-with-cells"), _may_link, percent), "rows-with-near-partner")
     needed = stored(alive.select("doc_id").distinct(), "documents-with-partner")
     whole = _full_sets(docs.join(needed, "doc_id", "left_semi"), n)
     whole = stored(whole.where(F.size("grams") > 0).distinct(), "whole-sets")
