@@ -18,9 +18,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Large-star hands a node's larger neighbours to its smallest one, small-star its smaller ones; the steps repeat
     until every link leads straight to the smallest node. Each step is a partial minimum and an equi-join, so a node
     with a third of all links is spread; nothing of a component is collected. Each round is written and reread.
-    Empty input gives an empty table; self-links and null ends are ignored; repeated links count once.
+    Nodes may be of any type with an order. Empty input gives an empty table; self-links and null ends are ignored; repeated links count once.
     """
-    links = links.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).where("a <> b")
+    links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
     edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     seen = None
     while True:

@@ -12,6 +12,7 @@ from rillmark.llm.bytebpe import decode, encode
 from rillmark.llm.common import fold, table
 from rillmark.llm.jaccard import jaccard_components
 from rillmark.llm.langid import fit, identify
+from rillmark.llm.linededup import line_classes
 from rillmark.llm.mixing import MIX_SQL, mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,12 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every line of every document: equal lines and lines within two edits."""
+    return line_classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text's token ids and of the bytes they decode to."""
