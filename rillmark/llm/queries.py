@@ -14,6 +14,7 @@ from rillmark.llm.jaccard import jaccard_components
 from rillmark.llm.langid import fit, identify
 from rillmark.llm.linededup import line_classes
 from rillmark.llm.mixing import MIX_SQL, mix
+from rillmark.llm.quality import quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +31,13 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base signals of every document and the verdict of its log-likelihood ratio; trusted: documents labelled good."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality(table(spark, sf_dir, "documents"), trusted)
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every line of every document: equal lines and lines within two edits."""
