@@ -73,6 +73,8 @@ def ratio_weights(docs: DataFrame, trusted: DataFrame) -> list[int]:
     for r in counts:
         raw[r.b] += r.raw
         target[r.b] += r.target
+    if sum(target) == BUCKETS:
+        return [0] * BUCKETS
     off = math.log(sum(raw) / sum(target))
     return [round(UNIT * (math.log(target[b] / raw[b]) + off)) for b in range(BUCKETS)]
 
@@ -88,7 +90,7 @@ def quality(docs: DataFrame, trusted: DataFrame, threshold: float = -0.035) -> D
     """
     docs = docs.select("doc_id", "text")
     weights = ratio_weights(docs, trusted)
-    known = F.from_json(F.lit(json.dumps(weights if any(w != weights[0] for w in weights) else [0] * BUCKETS)), "array<bigint>")
+    known = F.from_json(F.lit(json.dumps(weights)), "array<bigint>")
     rows = base_signals(docs).withColumn("_b", _buckets("w"))
     total = F.aggregate("_b", F.lit(0).cast("bigint"), lambda s, b: s + F.get(known, b))
     rows = rows.withColumn("llr", F.coalesce(F.try_divide(total, F.size("_b") * F.lit(float(UNIT))), F.lit(0.0)))
