@@ -15,6 +15,8 @@ from rillmark.llm.langid import fit, identify
 from rillmark.llm.linededup import line_classes
 from rillmark.llm.mixing import MIX_SQL, mix
 from rillmark.llm.quality import quality
+from rillmark.llm.tokenfiles import document_digests, write_tokens
+from rillmark.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,4 +73,12 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's token ids, read back from the files written."""
+    path = scratch_dir(spark, "token-files")
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return document_digests(spark, path)
+
+
 ORACLES["op9_mix_sources"] = MIX_SQL
