@@ -15,6 +15,7 @@ from rillmark.llm.langid import fit, identify
 from rillmark.llm.linededup import line_classes
 from rillmark.llm.mixing import MIX_SQL, mix
 from rillmark.llm.quality import quality
+from rillmark.llm.tokencount import count_tokens, unigram_vocabulary
 from rillmark.llm.tokenfiles import document_digests, write_tokens
 from rillmark.session import scratch_dir
 
@@ -67,6 +68,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of words and unigram pieces of every text."""
+    vocabulary = unigram_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, vocabulary).drop("text")
+
+
 @query
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources with weights 5, 2, 1 in turn takes of every document."""
