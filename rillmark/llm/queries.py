@@ -17,6 +17,7 @@ from rillmark.llm.mixing import MIX_SQL, mix
 from rillmark.llm.quality import quality
 from rillmark.llm.tokencount import count_tokens, unigram_vocabulary
 from rillmark.llm.tokenfiles import document_digests, write_tokens
+from rillmark.llm.toxicity import toxicity, train
 from rillmark.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +48,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of rows with crc32(doc_id) mod 5 = 0 are held out of the learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    return toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_terms")
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text's token ids and of the bytes they decode to."""
