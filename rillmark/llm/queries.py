@@ -14,6 +14,7 @@ from rillmark.llm.jaccard import jaccard_components
 from rillmark.llm.langid import fit, identify
 from rillmark.llm.linededup import line_classes
 from rillmark.llm.mixing import MIX_SQL, mix
+from rillmark.llm.neighbours import build, search
 from rillmark.llm.quality import quality
 from rillmark.llm.tokencount import count_tokens, unigram_vocabulary
 from rillmark.llm.tokenfiles import document_digests, write_tokens
@@ -78,6 +79,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+@query
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20, among all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(build(vectors), vectors.where("vec_id % 20 = 0"))
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of words and unigram pieces of every text."""
