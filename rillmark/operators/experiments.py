@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.functions.columns import erfc, is_type, micros, safe_ratio, sha_int, time_bucket
-from rillmark.operators.scale import dimension_join, salted_join
+from rillmark.operators.scale import salted_join
 
 # Number of traffic buckets and the version served when no experiment applies.
 BUCKETS = 100
 DEFAULT_GROUP, DEFAULT_VERSION = "control", "production"
+UNKNOWN_EXPERIMENT = "experiment not found"
 
 
 def bucket(user_id="user_id", experiment_id="experiment_id") -> Column:
@@ -36,29 +37,34 @@ def active_experiment(experiments: DataFrame) -> DataFrame:
 def assign(requests: DataFrame, experiments: DataFrame) -> DataFrame:
     """Group of every request's user. A request without an experiment goes to the newest active one.
 
-    ``requests``: user_id, experiment_id (may be null) and any other columns. Requests that name an unknown
-    experiment are dropped; without any active experiment the default group and version apply.
+    ``requests``: user_id, experiment_id (may be null) and any other columns. A request that names an unknown experiment
+    comes out with status "unknown", a reason and no group; without any active experiment the default group and version
+    apply. How the experiments are joined is left to the optimiser, which knows their size.
     """
     newest = active_experiment(experiments).select("experiment_id").scalar()
     wanted = requests.withColumn("experiment_id", F.coalesce("experiment_id", newest))
     dim = experiments.select("experiment_id", "status", "traffic_percentage", "control_version", "treatment_version")
-    placed = dimension_join(wanted.where(F.col("experiment_id").isNotNull()), dim, "experiment_id").withColumn(
-        "bucket", bucket()).withColumn("group", group_of(F.col("bucket"), F.col("traffic_percentage")))
-    none = wanted.where(F.col("experiment_id").isNull())
-    return placed.unionByName(none.withColumn("group", F.lit(DEFAULT_GROUP)).withColumn("status", F.lit("none")),
-                              allowMissingColumns=True)
+    placed = wanted.join(dim.withColumn("_known", F.lit(True)), "experiment_id", "left")
+    known, unnamed = F.col("_known").isNotNull(), F.col("experiment_id").isNull()
+    placed = placed.withColumn("bucket", F.when(known, bucket())).withColumns({
+        "group": F.when(known, group_of(F.col("bucket"), F.col("traffic_percentage"))).when(unnamed, DEFAULT_GROUP),
+        "status": F.when(unnamed, "none").when(known, F.col("status")).otherwise("unknown"),
+        "reason": F.when(~known & ~unnamed, UNKNOWN_EXPERIMENT)})
+    return placed.drop("_known")
 
 
 def route_versions(assigned: DataFrame) -> DataFrame:
     """Served group and model version per request, and whether the assignment is recorded.
 
     Inactive experiments and excluded users are served the control version; only active, included ones are recorded.
+    A request for an unknown experiment is an error: it is served nothing and keeps its reason.
     """
-    active = F.col("status") == "active"
+    active, unknown = F.col("status") == "active", F.col("status") == "unknown"
     treated = active & (F.col("group") == "treatment")
-    return assigned.withColumn("served_group", F.when(treated, "treatment").otherwise("control")).withColumn(
+    return assigned.withColumn("served_group", F.when(treated, "treatment").when(~unknown, "control")).withColumn(
         "model_version",
-        F.when(treated, F.col("treatment_version")).otherwise(F.coalesce("control_version", F.lit(DEFAULT_VERSION))),
+        F.when(treated, F.col("treatment_version")).when(
+            ~unknown, F.coalesce("control_version", F.lit(DEFAULT_VERSION))),
     ).withColumn("recorded", active & (F.col("group") != "excluded"))
 
 

@@ -104,8 +104,8 @@ def pair_features(df: DataFrame, as_of) -> DataFrame:
         F.avg("rating").alias("user_item_rating"),
         F.max(micros("timestamp") * 4 + code).alias("_newest"),
     )
-    kind = F.element_at(F.array(F.lit("other"), *[F.lit(s) for s in _SIGNAL]), (F.col("_newest") % 4).cast("int") + 1)
-    last = F.timestamp_micros(F.floor(F.col("_newest") / 4).cast("bigint"))
+    kind = F.element_at(F.array(F.lit("other"), *[F.lit(s) for s in _SIGNAL]), F.pmod(F.col("_newest"), F.lit(4)).cast("int") + 1)
+    last = F.timestamp_micros(F.shiftright("_newest", 2))  # rounds down before 1970 too, and stays a whole number
     return grouped.select(
         "user_id", "item_id", "interaction_count",
         kind.alias("last_interaction_type"),

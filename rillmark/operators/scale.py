@@ -161,17 +161,6 @@ def salted_join(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
-def dimension_join(big: DataFrame, dim: DataFrame, key: str, how: str = "inner", max_rows: int = 200_000) -> DataFrame:
-    """Join to a table that is expected to be small.
-
-    It is broadcast only after counting that it has at most ``max_rows`` rows; a larger one is joined by
-    :func:`salted_join`.
-    """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return big.join(F.broadcast(dim), key, how)
-    return salted_join(big, dim, key, how)
-
-
 def top_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int, out: str = "rank") -> DataFrame:
     """The first ``n`` rows of every group with their rank.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.functions.columns import hex_int, sha_hex, sha_int
-from rillmark.operators.scale import dense_index, smallest_by_hash
+from rillmark.operators.scale import dense_index, running_total
 from rillmark.session import checkpointed
 from rillmark.sources.store import write_versioned
 
@@ -17,7 +17,10 @@ SHARED = ("total_views", "total_clicks")
 # Values a sampled negative has in place of pair features.
 NO_PAIR = {"interaction_count": 0, "last_interaction_type": "none", "time_since_last_interaction": -1.0,
            "user_item_rating": None}
-DRAWS_PER_HASH = 8
+# Primes just below 2^31, the steps of the users' permutations.
+STEPS = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497)
+MOST_ITEMS = STEPS[-1] - 1
+SLICE = 4096  # places of one user that are ranked in one task
 
 
 def with_features(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
@@ -36,28 +39,32 @@ def positives(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame
 
 
 def sample_negatives(pairs: DataFrame, items: DataFrame | None = None, ratio: int = 4, seed: int = 42) -> DataFrame:
-    """Distinct unobserved (user, item) pairs, ``ratio`` times as many as the observed ones if that many are drawn.
+    """Distinct unobserved (user, item) pairs: ``ratio`` for each pair of a user, or all that are left if there are fewer.
 
-    Every observed pair draws 2*ratio numbers by hash (eight 32-bit numbers per SHA-256); a number modulo the count of items names an
-    item, and the number itself is the draw's place in the order. One grouping by (user, item number) removes
-    repeats and drops the observed pairs, which take part with a mark. The candidates are stored once, and those with
-    the smallest place are kept: an exact global cut without a global sort. ``items`` defaults to the items of the pairs.
+    Items are numbered 0..n-1. Every user has a permutation of the numbers, place * step + start modulo n, with step (a prime
+    above n, so without a common factor) and start from a SHA-256 of user and seed. The j-th observed pair of a user
+    names places j * (ratio + 1) up to the next pair's, so a very active user is spread over its pairs and
+    nothing is drawn twice. At most m of the places of a user with m pairs are observed items; these are dropped,
+    and the first ratio * m of the rest are kept. ``items`` defaults to the items of the pairs.
     """
-    pairs = checkpointed(pairs.select("user_id", "item_id").distinct(), "pairs")
+    pairs = pairs.select("user_id", "item_id").distinct()
     indexed = checkpointed(dense_index(pairs if items is None else items, "item_id", "idx"), "item-index")
-    n_items = indexed.groupBy().agg(F.count("*").alias("n")).scalar()
-    draws, blocks = 2 * ratio, -(-2 * ratio // DRAWS_PER_HASH)
-    hashed, numbers = pairs.join(indexed, "item_id"), []
-    for block in range(blocks):
-        hashed = hashed.withColumn(f"_h{block}", sha_hex("user_id", "item_id", F.lit(str(block)), F.lit(str(seed))))
-        numbers += [hex_int(F.col(f"_h{block}"), 1 + 8 * j) for j in range(min(DRAWS_PER_HASH, draws - block * DRAWS_PER_HASH))]
-    # An observed pair takes part with place -1, below every draw.
-    own = hashed.select("user_id", "idx", F.lit(-1).cast("bigint").alias("place"))
-    drawn = hashed.select("user_id", F.explode(F.array(*numbers)).alias("place")).select(
-        "user_id", (F.col("place") % n_items).alias("idx"), "place")
-    unseen = drawn.unionByName(own).groupBy("user_id", "idx").agg(F.min("place").alias("place")).where("place >= 0")
-    wanted = pairs.groupBy().agg((F.count("*") * ratio).alias("n")).scalar()
-    kept = smallest_by_hash(checkpointed(unseen, "negative-candidates"), "place", wanted, ["user_id", "idx"])
+    n = indexed.count()
+    if n > MOST_ITEMS:
+        raise ValueError(f"{n} items; the permutation is made for {MOST_ITEMS} at most")
+    observed = pairs.join(indexed, "item_id", "left").select("user_id", "item_id", "idx")
+    slice_of = F.floor(F.coalesce("idx", F.lit(-1)) / SLICE)
+    numbered = running_total(observed.withColumn("_b", slice_of), ["user_id"], "_b", ["idx", "item_id"], F.lit(1), "j")
+    key = sha_hex("user_id", F.lit(str(seed)))
+    step = F.element_at(F.array(*[F.lit(p) for p in STEPS]), (hex_int(key, 1) % len(STEPS) + 1).cast("int"))
+    places = F.sequence((F.col("j") - 1) * (ratio + 1), F.col("j") * (ratio + 1) - 1)
+    offered = numbered.select("user_id", step.alias("step"), (hex_int(key, 9) % n).alias("start"), F.explode(places).alias("place"))
+    offered = offered.where(F.col("place") < n).select(
+        "user_id", "place", ((F.col("place") * F.col("step") + F.col("start")) % n).alias("idx"))
+    unseen = offered.join(observed.where("idx IS NOT NULL").select("user_id", "idx"), ["user_id", "idx"], "left_anti")
+    wanted = pairs.groupBy("user_id").agg((F.count("*") * ratio).alias("wanted"))
+    ranked = running_total(unseen.withColumn("_b", F.floor(F.col("place") / SLICE)), ["user_id"], "_b", ["place"], F.lit(1), "rank")
+    kept = ranked.join(wanted, "user_id").where(F.col("rank") <= F.col("wanted"))
     return kept.join(indexed, "idx").select("user_id", "item_id")
 
 

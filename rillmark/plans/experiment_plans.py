@@ -27,11 +27,12 @@ VIEWS["rq"] = """
            ELSE (SELECT experiment_id FROM newest) END AS experiment_id
     FROM (SELECT *, CAST(regexp_extract(item_id, '[0-9]+') AS BIGINT) AS event_id_n FROM raw)"""
 VIEWS["asg"] = """
-    SELECT *, CASE WHEN b >= traffic THEN 'excluded' WHEN b < traffic / CAST(2.0 AS DOUBLE) THEN 'control'
+    SELECT *, CASE WHEN traffic IS NULL THEN NULL WHEN b >= traffic THEN 'excluded' WHEN b < traffic / CAST(2.0 AS DOUBLE) THEN 'control'
               ELSE 'treatment' END AS grp
     FROM (SELECT request_id, user_id, ts, rq.experiment_id, status, traffic, control_version, treatment_version,
-                 CAST('0x' || substr(sha256(user_id || ':' || rq.experiment_id), 1, 8) AS BIGINT) % 100 AS b
-          FROM rq JOIN xp ON rq.experiment_id = xp.experiment_id)"""
+                 CASE WHEN xp.experiment_id IS NOT NULL
+                      THEN CAST('0x' || substr(sha256(user_id || ':' || rq.experiment_id), 1, 8) AS BIGINT) % 100 END AS b
+          FROM rq LEFT JOIN xp ON rq.experiment_id = xp.experiment_id)"""
 VIEWS["rec"] = """
     SELECT user_id, experiment_id, grp, ts AS assigned_at FROM asg WHERE status = 'active' AND grp <> 'excluded'
     QUALIFY row_number() OVER (PARTITION BY user_id, experiment_id ORDER BY ts) = 1"""
@@ -90,17 +91,19 @@ def active_experiment(spark, root):
 
 
 @query("assign_groups", with_views("asg", """
-    SELECT request_id, user_id, experiment_id, b AS bucket, grp AS "group" FROM asg"""))
+    SELECT request_id, user_id, experiment_id, b AS bucket, grp AS "group",
+           CASE WHEN traffic IS NULL THEN 'experiment not found' END AS reason FROM asg"""))
 def assign_groups(spark, root):
-    return assigned(spark, root).select("request_id", "user_id", "experiment_id", "bucket", "group")
+    return assigned(spark, root).select("request_id", "user_id", "experiment_id", "bucket", "group", "reason")
 
 
 @query("routed_versions", with_views("asg", """
     SELECT request_id, user_id, experiment_id,
-           CASE WHEN status = 'active' AND grp = 'treatment' THEN 'treatment' ELSE 'control' END AS served_group,
+           CASE WHEN status = 'active' AND grp = 'treatment' THEN 'treatment' WHEN status IS NOT NULL THEN 'control' END
+             AS served_group,
            CASE WHEN status = 'active' AND grp = 'treatment' THEN treatment_version ELSE control_version END
              AS model_version,
-           status = 'active' AND grp <> 'excluded' AS recorded
+           coalesce(status = 'active' AND grp <> 'excluded', false) AS recorded
     FROM asg"""))
 def routed_versions(spark, root):
     return ex.route_versions(assigned(spark, root)).select(

@@ -8,7 +8,7 @@ from rillmark.operators import windows as wn
 from rillmark.operators.scale import exact_percentiles
 from rillmark.plans.event_plans import AS_OF
 from rillmark.plans.registry import VIEWS, query, with_views
-from rillmark.sources.adapters import fact_table, raw_events, table
+from rillmark.sources.adapters import raw_events, table
 
 # Service metrics from the event log: one request per event.
 VIEWS["http"] = """
@@ -24,7 +24,7 @@ VIEWS["http"] = """
 def http(spark, root):
     k = F.get_json_object("props", "$.k").cast("bigint")
     kind = F.col("event_type")
-    return fact_table(spark, root, "events", "event_id").select(
+    return table(spark, root, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("timestamp"), k.alias("k"), F.col("value").alias("latency_ms"),
         F.concat(F.lit("svc_"), (k % 5).cast("string")).alias("service"),
         F.concat(F.lit("/e/"), k.cast("string")).alias("endpoint"),
@@ -75,7 +75,8 @@ def dq_report(spark, root):
                         ["l_orderkey", "l_linenumber"], "l_shipdate", "2001-01-01 00:00:00")
 
 
-_PROFILED = ["l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"]
+_PROFILED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 @query("column_profile", " UNION ALL ".join(f"""
@@ -83,14 +84,14 @@ _PROFILED = ["l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", "l_ship
            count(DISTINCT {c}) AS distinct_values, (count(*) - count({c})) / CAST(count(*) AS DOUBLE) AS missing_share,
            count(DISTINCT {c}) <= 1 AS constant FROM lineitem""" for c in _PROFILED))
 def column_profile(spark, root):
-    return dq.column_profile(table(spark, root, "lineitem"), _PROFILED)
+    return dq.column_profile(table(spark, root, "lineitem"))
 
 
 @query("duplicate_rows", """
     SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS surplus FROM (
-      SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey, l_returnflag, l_linestatus) WHERE c > 1""")
+      SELECT count(*) AS c FROM lineitem GROUP BY """ + ", ".join(_PROFILED) + ") WHERE c > 1")
 def duplicate_rows(spark, root):
-    return dq.duplicate_rows(table(spark, root, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus"))
+    return dq.duplicate_rows(table(spark, root, "lineitem"))
 
 
 # Reference: orders shipped before 2000; current: the rest.
@@ -103,7 +104,7 @@ def _halves(df, ts):
 
 
 def lines(spark, root):
-    return fact_table(spark, root, "lineitem", "l_orderkey", "l_partkey", "l_suppkey")
+    return table(spark, root, "lineitem")
 
 
 _DRIFT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

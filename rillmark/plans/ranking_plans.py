@@ -170,14 +170,13 @@ def prefix_rerank(spark, root):
     WITH p AS (SELECT item_id, row_number() OVER (ORDER BY c DESC, item_id) - 1 AS i FROM
                  (SELECT item_id, count(*) AS c FROM ev GROUP BY 1) QUALIFY i < 10),
     u AS (SELECT 'user_' || c_custkey AS user_id FROM customer
-          EXCEPT SELECT user_id FROM ev WHERE ts < TIMESTAMP '2024-01-03')
+          EXCEPT SELECT user_id FROM ev)
     SELECT user_id, item_id, round(1.0 - CAST(0.01 AS DOUBLE) * i, 4) AS score, i + 1 AS rank FROM u, p"""))
 def cold_start_recs(spark, root):
     users = table(spark, root, "customer").select(
         F.concat(F.lit("user_"), F.col("c_custkey").cast("string")).alias("user_id"))
     events = valid_events(spark, root)
-    known = events.where(F.col("timestamp") < F.lit("2024-01-03").cast("timestamp"))
-    return rr.cold_start(users, known, item_popularity(events), 10).withColumn("rank", F.col("rank").cast("bigint"))
+    return rr.cold_start(users, events, item_popularity(events), 10).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 # Stored lists: every event of a user left a list of five items.

@@ -21,19 +21,20 @@ _H = "CAST(('0x' || substr({h}, {at}, 8)) AS BIGINT)"
 
 
 def _negatives_ctes(view):
-    """Pairs p, item numbers n and sampled negatives neg, from one view of events."""
-    hashed = f"sha256(concat_ws(':', p.user_id, p.item_id, '0', '{SEED}'))"
-    draw = _H.format(h=hashed, at="(1 + 8 * j)")
+    """Pairs p and sampled negatives neg, from one view of events: all places of every user's permutation, in order."""
+    key = f"sha256(concat_ws(':', user_id, '{SEED}'))"
+    step = f"({list(tr.STEPS)})[1 + {_H.format(h=key, at=1)} % {len(tr.STEPS)}]::BIGINT"
     return f"""
     p AS (SELECT DISTINCT user_id, item_id FROM {view}),
     n AS (SELECT item_id, row_number() OVER (ORDER BY sha256(item_id)) - 1 AS idx
           FROM (SELECT DISTINCT item_id FROM p)),
-    d AS (SELECT user_id, v % (SELECT count(*) FROM n) AS idx, min(v) AS place
-          FROM (SELECT p.user_id, {draw} AS v FROM p, range(8) t(j)) GROUP BY 1, 2),
-    c AS (SELECT d.user_id, n.item_id, d.idx, place FROM d JOIN n ON d.idx = n.idx ANTI JOIN p
-          ON p.user_id = d.user_id AND p.item_id = n.item_id),
+    u AS (SELECT user_id, count(*) AS m, {step} AS step, {_H.format(h=key, at=9)} AS start FROM p GROUP BY user_id),
+    pl AS (SELECT user_id, m, place, (place * step + start % (SELECT count(*) FROM n)) % (SELECT count(*) FROM n) AS idx
+           FROM u, range((SELECT count(*) FROM n)) t(place)),
+    c AS (SELECT pl.user_id, n.item_id, m, place FROM pl JOIN n ON pl.idx = n.idx ANTI JOIN p
+          ON p.user_id = pl.user_id AND p.item_id = n.item_id),
     neg AS (SELECT user_id, item_id FROM c
-            QUALIFY row_number() OVER (ORDER BY place, user_id, idx) <= 4 * (SELECT count(*) FROM p))"""
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY place) <= 4 * m)"""
 
 
 @query("negatives", with_views("ev", f"WITH {_negatives_ctes('ev')} SELECT user_id, item_id FROM neg"))

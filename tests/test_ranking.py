@@ -125,7 +125,8 @@ def test_no_active_experiment_gives_the_default(spark):
     req = spark.createDataFrame([("u", None), ("u", "e"), ("u", "gone")], "user_id string, experiment_id string")
     out = ex.route_versions(ex.assign(req, exps))
     assert rows(out, "experiment_id", "served_group", "model_version", "recorded") == [
-        ("e", "control", "c", False), (None, "control", "production", False)]
+        ("e", "control", "c", False), ("gone", None, None, False), (None, "control", "production", False)]
+    assert {r.experiment_id: r.reason for r in out.collect()}["gone"] == "experiment not found"
 
 
 def test_sticky_keeps_the_existing_group(spark):

@@ -85,13 +85,6 @@ def test_salted_join_equals_plain_join(spark, skewed, how):
     assert rows(sc.salted_join(df, small, "key", how), "id", "w") == rows(df.join(small, "key", how), "id", "w")
 
 
-def test_dimension_join_beyond_the_broadcast_bound(spark, skewed):
-    _, df = skewed
-    small = spark.createDataFrame([("hot", 1), ("k1", 3)], "key string, w int")
-    for bound in (1, 10):
-        assert rows(sc.dimension_join(df, small, "key", max_rows=bound), "id", "w") == rows(df.join(small, "key"), "id", "w")
-
-
 def test_hot_keys_are_few(skewed):
     _, df = skewed
     assert rows(sc.hot_keys(df, "key", 0.2)) == [("hot",)]

@@ -18,10 +18,18 @@ def pairs(spark):
 
 
 @pytest.mark.parametrize("ratio", [1, 4, 6])
-def test_negatives_are_new_distinct_and_enough(pairs, ratio):
+def test_negatives_are_new_distinct_and_complete(pairs, ratio):
     neg = tr.sample_negatives(pairs, None, ratio, 1).cache()
-    assert neg.count() == neg.distinct().count() == ratio * pairs.count()
+    assert neg.count() == neg.distinct().count()
     assert neg.join(pairs, ["user_id", "item_id"]).count() == 0
+    n = pairs.select("item_id").distinct().count()
+    want = {r.user_id: min(ratio * r["count"], n - r["count"]) for r in pairs.groupBy("user_id").count().collect()}
+    assert {r.user_id: r["count"] for r in neg.groupBy("user_id").count().collect()} == {u: c for u, c in want.items() if c}
+
+
+def test_steps_are_prime_and_below_two_to_the_31():
+    for p in tr.STEPS:
+        assert p < 2**31 and all(p % d for d in range(2, int(p**0.5) + 1))
 
 
 def test_negatives_repeat_with_the_seed(pairs):
