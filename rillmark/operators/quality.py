@@ -8,10 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillmark.operators.scale import exact_percentiles
+from rillmark.operators.scale import running_total
+from rillmark.session import checkpointed
 
 # Smallest share a bin is given in the population stability index. Fixed value.
 SHARE_FLOOR = 1e-6
+DRIFT_PIECES = 64  # value ranges of a column whose running totals are taken apart
 
 
 def check_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -97,39 +99,52 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def drift(
     ref: DataFrame, cur: DataFrame, columns: Sequence[str], bins: int = 10, threshold: float = 0.2,
 ) -> DataFrame:
-    """Population stability index and Kolmogorov-Smirnov distance per column over the reference's quantile bins."""
-    ref_long = long_form(ref, columns).where(F.col("value").isNotNull())
-    cur_long = long_form(cur, columns).where(F.col("value").isNotNull())
-    cuts = {f"q{i}": i / bins for i in range(1, bins)}
-    edges = exact_percentiles(ref_long, ["column_name"], "value", cuts).select(
-        "column_name", F.array(*cuts).alias("edges"))
-
-    def binned(df: DataFrame, name: str) -> DataFrame:
-        counts = df.groupBy("column_name", "value").agg(F.count("*").alias("c"))
-        # One edge row per listed column: the number of columns bounds this side.
-        placed = counts.join(F.broadcast(edges), "column_name").withColumn(
-            "bin", F.size(F.filter("edges", lambda e: e < F.col("value"))))
-        return placed.groupBy("column_name", "bin").agg(F.sum("c").alias(name))
-
-    both = binned(ref_long, "r").join(binned(cur_long, "c"), ["column_name", "bin"], "full").na.fill(0, ["r", "c"])
-    # At most `bins` rows per column from here on.
-    per_column = Window.partitionBy("column_name")
-    upto = per_column.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-
-    def share(name: str, window) -> F.Column:
-        return F.sum(name).over(window) / F.nullif(F.sum(name).over(per_column), F.lit(0))
-
-    shares = both.select(
-        "column_name",
-        F.greatest(F.col("r") / F.sum("r").over(per_column), F.lit(SHARE_FLOOR)).alias("rs"),
-        F.greatest(F.coalesce(F.col("c") / F.nullif(F.sum("c").over(per_column), F.lit(0)), F.lit(0.0)),
-                   F.lit(SHARE_FLOOR)).alias("cs"),
-        F.abs(share("r", upto) - F.coalesce(share("c", upto), F.lit(0.0))).alias("gap"),
-    )
-    return shares.groupBy("column_name").agg(
+    """Population stability index, Kolmogorov-Smirnov distance and null shares per column; every column is reported.
+
+    Both tables are counted together by (column, value); running totals of these counts give the reference's quantile
+    edges and the exact distance between the two distributions. Nulls are a bin of their own in the index and no part of the
+    distance. If one table has no rows, psi is null and the column counts as drifted; ks is null where a side has no value.
+    """
+    mark = long_form(ref, columns).withColumn("_r", F.lit(1)).unionByName(long_form(cur, columns).withColumn("_r", F.lit(0)))
+    counts = mark.groupBy("column_name", "value").agg(F.sum("_r").alias("r"), F.sum(1 - F.col("_r")).alias("c"))
+    filled = counts.where(F.col("value").isNotNull())
+    steps = [i / DRIFT_PIECES for i in range(1, DRIFT_PIECES)]
+    # One row per listed column: the number of columns bounds every broadcast here. Approximate cuts may differ when they are
+    # computed again, so they are stored and both uses below see the same ones.
+    stats = checkpointed(filled.groupBy("column_name").agg(
+        F.percentile_approx("value", F.array(*[F.lit(x) for x in steps]), F.lit(2000)).alias("_cuts"),
+        F.sum("r").alias("rn"), F.sum("c").alias("cn")), "drift-cuts")
+    placed = filled.join(F.broadcast(stats), "column_name").withColumn(
+        "_b", F.size(F.filter("_cuts", lambda e: e < F.col("value")))).drop("_cuts")
+    placed = running_total(placed, ["column_name"], "_b", ["value"], F.col("r"), "ru")
+    placed = running_total(placed, ["column_name"], "_b", ["value"], F.col("c"), "cu")
+    firsts = []
+    for i in range(1, bins):
+        at = F.lit(i / bins) * (F.col("rn") - 1)
+        firsts += [F.min(F.when(F.col("ru") > F.floor(at), F.col("value"))).alias(f"_lo{i}"),
+                   F.min(F.when(F.col("ru") > F.ceil(at), F.col("value"))).alias(f"_hi{i}")]
+    gap = F.abs(F.try_divide("ru", "rn") - F.try_divide("cu", "cn"))
+    found = placed.groupBy("column_name").agg(F.max(gap).alias("ks"), F.any_value("rn").alias("rn"), *firsts)
+    edges = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (at - F.floor(at))
+             for i in range(1, bins) for at in [F.lit(i / bins) * (F.col("rn") - 1)]]
+    found = found.select("column_name", "ks", F.filter(F.array(*edges), lambda e: e.isNotNull()).alias("edges"))
+    binned = counts.join(F.broadcast(found.select("column_name", "edges")), "column_name", "left").withColumn(
+        "bin", F.when(F.col("value").isNull(), -1).otherwise(F.size(F.filter("edges", lambda e: e < F.col("value")))))
+    binned = binned.groupBy("column_name", "bin").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    per_column = Window.partitionBy("column_name")  # at most bins + 1 rows per column
+    rs, cs = (F.greatest(F.try_divide(n, F.sum(n).over(per_column)), F.lit(SHARE_FLOOR)) for n in "rc")
+    shares = binned.select("column_name", "bin", "r", "c", rs.alias("rs"), cs.alias("cs"))
+    index = shares.groupBy("column_name").agg(
         F.sum((F.col("cs") - F.col("rs")) * F.log(F.col("cs") / F.col("rs"))).alias("psi"),
-        F.max("gap").alias("ks"),
-    ).withColumn("drifted", F.col("psi") >= F.lit(threshold))
+        F.sum("r").alias("rows_ref"), F.sum("c").alias("rows_cur"),
+        *[F.try_divide(F.coalesce(F.sum(F.when(F.col("bin") == -1, F.col(n))), F.lit(0)), F.sum(n)).alias(f"{name}_null_share")
+          for n, name in (("r", "ref"), ("c", "cur"))])
+    both = (F.col("rows_ref") > 0) & (F.col("rows_cur") > 0)
+    listed = ref.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
+    out = listed.join(index, "column_name", "left").join(found.select("column_name", "ks"), "column_name", "left")
+    return out.select("column_name", F.when(both, F.col("psi")).alias("psi"), "ks", "ref_null_share", "cur_null_share",
+                      F.coalesce(F.when(both, F.col("psi") >= F.lit(threshold)).otherwise(
+                          F.col("rows_ref") != F.col("rows_cur")), F.lit(False)).alias("drifted"))
 
 
 def dataset_drift(per_column: DataFrame, share: float = 0.5) -> DataFrame:
@@ -143,24 +158,25 @@ def dataset_drift(per_column: DataFrame, share: float = 0.5) -> DataFrame:
 def target_drift(ref: DataFrame, cur: DataFrame, label: str = "label", threshold: float = 0.1) -> DataFrame:
     """Change of the label's distribution over its values; without the column in both tables there is no drift.
 
-    Labels are classes, so every value is a bin of its own.
+    Labels are classes, so every value, null included, is a bin of its own. If one side has no rows, psi is null and the
+    label counts as drifted.
     """
     if label not in ref.columns or label not in cur.columns:
         spark = ref.sparkSession
         return spark.range(1).select(F.lit(label).alias("column_name"), F.lit(None).cast("double").alias("psi"),
                                      F.lit(False).alias("drifted"))
 
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.col(label).cast("string").alias("v")).agg(F.count("*").alias(name))
-
-    def total(df: DataFrame) -> F.Column:
-        return df.groupBy().agg(F.count("*").cast("double")).scalar()
-
-    both = counted(ref, "r").join(counted(cur, "c"), "v", "full").na.fill(0, ["r", "c"])
-    rs = F.greatest(F.col("r") / total(ref), F.lit(SHARE_FLOOR))
-    cs = F.greatest(F.col("c") / total(cur), F.lit(SHARE_FLOOR))
-    return both.select(((cs - rs) * F.log(cs / rs)).alias("p")).groupBy().agg(F.sum("p").alias("psi")).select(
-        F.lit(label).alias("column_name"), "psi", (F.col("psi") >= threshold).alias("drifted"))
+    def marked(df: DataFrame, mine: int) -> DataFrame:
+        return df.select(F.col(label).cast("string").alias("v"), F.lit(mine).alias("_r"))
+
+    counts = marked(ref, 1).unionByName(marked(cur, 0)).groupBy("v").agg(F.sum("_r").alias("r"), F.sum(1 - F.col("_r")).alias("c"))
+    total = counts.groupBy().agg(F.struct(F.coalesce(F.sum("r"), F.lit(0)).alias("r"), F.coalesce(F.sum("c"), F.lit(0)).alias("c"))).scalar()
+    rs, cs = (F.greatest(F.try_divide(n, total[n]), F.lit(SHARE_FLOOR)) for n in "rc")
+    one = counts.select(((cs - rs) * F.log(cs / rs)).alias("p"), "r", "c").groupBy().agg(
+        F.sum("p").alias("p"), F.coalesce(F.sum("r"), F.lit(0)).alias("r"), F.coalesce(F.sum("c"), F.lit(0)).alias("c"))
+    both = (F.col("r") > 0) & (F.col("c") > 0)
+    return one.select(F.lit(label).alias("column_name"), F.when(both, F.col("p")).alias("psi"),
+                      F.when(both, F.col("p") >= threshold).otherwise(F.col("r") != F.col("c")).alias("drifted"))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

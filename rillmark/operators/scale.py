@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.functions.columns import col, sha_hex
+from rillmark.session import checkpointed
 
 _FIRST = Window.unboundedPreceding
 
@@ -99,7 +100,7 @@ def exact_percentiles(
     """Exact interpolated percentiles per group without holding a group in one aggregation buffer.
 
     Equal values are counted first. Approximate quantiles (bounded memory) cut the value range into pieces; they
-    only steer the partitioning. Running counts inside the pieces then locate the exact order statistics.
+    only steer the partitioning, and are stored because a second computation may give other ones. Running counts inside the pieces then locate the exact order statistics.
     """
     keys = list(keys)
     counts = df.where(col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
@@ -107,6 +108,7 @@ def exact_percentiles(
     edge_agg = F.percentile_approx(col(value), cuts, F.lit(2000)).alias("_edges")
     size_agg = F.sum("_c").alias("_n")
     stats = counts.groupBy(*keys).agg(edge_agg, size_agg) if keys else counts.agg(edge_agg, size_agg)
+    stats = checkpointed(stats, "pieces")
     if keys:
         placed = counts.join(stats, keys)
     else:
@@ -131,11 +133,13 @@ def exact_percentiles(
 
 
 def value_pieces(df: DataFrame, value: str, out: str, pieces: int = 64) -> DataFrame:
-    """Add ``out``, the number of the value range a row falls in; ranges come from approximate quantiles."""
+    """Add ``out``, the number of the value range a row falls in; ranges come from approximate quantiles.
+
+    The few edges are computed once and become constants of the plan, so that every use places a row alike.
+    """
     cuts = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    edges = df.groupBy().agg(F.percentile_approx(col(value), cuts, F.lit(2000)).alias("e")).scalar()
-    return df.withColumn("_edges", edges).withColumn(
-        out, F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
+    edges = df.groupBy().agg(F.percentile_approx(col(value), cuts, F.lit(2000)).alias("e")).first().e or []
+    return df.withColumn(out, F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(value))))
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 1 / 256) -> DataFrame:

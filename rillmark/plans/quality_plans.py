@@ -131,7 +131,13 @@ def drift_psi(spark, root):
     return _round(dq.drift(ref, cur, _DRIFT_COLS).select("column_name", "psi", "drifted"), "psi")
 
 
-@query("drift_ks", _DRIFT + " SELECT column_name, round(max(gap), 6) AS ks FROM f GROUP BY 1")
+@query("drift_ks", f"""
+    WITH l AS (SELECT l_shipdate < TIMESTAMP '{_SHIP}' AS old, unnest({_DRIFT_COLS}) AS column_name,
+                      unnest([{', '.join(_DRIFT_COLS)}]) AS value FROM lineitem),
+    v AS (SELECT column_name, value, count(*) FILTER (old) AS r, count(*) FILTER (NOT old) AS c FROM l GROUP BY 1, 2),
+    g AS (SELECT column_name, abs(sum(r) OVER o / CAST(sum(r) OVER w AS DOUBLE) - sum(c) OVER o / CAST(sum(c) OVER w AS DOUBLE)) AS gap
+          FROM v WINDOW w AS (PARTITION BY column_name), o AS (PARTITION BY column_name ORDER BY value))
+    SELECT column_name, round(max(gap), 6) AS ks FROM g GROUP BY 1""")
 def drift_ks(spark, root):
     ref, cur = _halves(lines(spark, root), "l_shipdate")
     return _round(dq.drift(ref, cur, _DRIFT_COLS).select("column_name", "ks"), "ks")
@@ -169,15 +175,19 @@ def target_drift(spark, root):
     r AS (SELECT rb AS bin, count(*) AS r FROM b GROUP BY 1), c AS (SELECT cb AS bin, count(*) AS c FROM b GROUP BY 1),
     g AS (SELECT coalesce(r.bin, c.bin) AS bin, coalesce(r, 0) AS r, coalesce(c, 0) AS c FROM r FULL JOIN c ON r.bin = c.bin),
     s AS (SELECT bin, r / CAST(sum(r) OVER () AS DOUBLE) AS rs, c / CAST(sum(c) OVER () AS DOUBLE) AS cs FROM g),
-    f AS (SELECT greatest(rs, 1e-6) AS rs, greatest(cs, 1e-6) AS cs,
-                 abs(sum(rs) OVER (ORDER BY bin) - sum(cs) OVER (ORDER BY bin)) AS gap FROM s)
-    SELECT 'score' AS column_name, round(sum((cs - rs) * ln(cs / rs)), 6) AS psi, round(max(gap), 6) AS ks,
+    f AS (SELECT greatest(rs, 1e-6) AS rs, greatest(cs, 1e-6) AS cs FROM s),
+    v AS (SELECT l_extendedprice AS x, 1 AS o FROM lineitem
+          UNION ALL SELECT l_extendedprice * (1 - l_discount) * (1 + l_tax), 0 FROM lineitem),
+    k AS (SELECT max(abs(a - b)) AS ks FROM (
+            SELECT sum(sum(o)) OVER (ORDER BY x) / CAST((SELECT count(*) FROM lineitem) AS DOUBLE) AS a,
+                   sum(sum(1 - o)) OVER (ORDER BY x) / CAST((SELECT count(*) FROM lineitem) AS DOUBLE) AS b FROM v GROUP BY x))
+    SELECT 'score' AS column_name, round(sum((cs - rs) * ln(cs / rs)), 6) AS psi, (SELECT round(ks, 6) FROM k) AS ks,
            sum((cs - rs) * ln(cs / rs)) >= 0.2 AS drifted FROM f""")
 def prediction_drift(spark, root):
     lines = table(spark, root, "lineitem")
     old = lines.select(F.col("l_extendedprice").alias("score"))
     new = lines.select((F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("score"))
-    return _round(dq.drift(old, new, ["score"]), "psi", "ks")
+    return _round(dq.drift(old, new, ["score"]).select("column_name", "psi", "ks", "drifted"), "psi", "ks")
 
 
 @query("stage_latency", with_views("http", """

@@ -46,6 +46,36 @@ def test_no_drift_against_itself(spark):
     assert dq.dataset_drift(dq.drift(x, shifted, ["x", "c"])).first().drift_share == 0.5
 
 
+def test_drift_reports_every_column(spark):
+    rows_ = [(None, float(i), 1.0 if i % 2 else None) for i in range(100)]
+    ref = spark.createDataFrame(rows_, "a double, b double, n double")
+    cur = spark.createDataFrame([(float(i), None, 1.0) for i in range(50)], "a double, b double, n double")
+    got = {r.column_name: r for r in dq.drift(ref, cur, ["a", "b", "n"]).collect()}
+    assert all(got[c].drifted for c in "abn") and got["a"].ks is None and got["b"].ks is None and got["n"].ks == 0
+    assert [(got[c].ref_null_share, got[c].cur_null_share) for c in "abn"] == [(1, 0), (0, 1), (0.5, 0)]
+    assert dq.dataset_drift(dq.drift(ref, cur, ["a", "b", "n"])).first().columns == 3
+
+
+def test_drift_against_an_empty_side(spark):
+    x, none = spark.range(9).select(F.col("id").cast("double").alias("x")), spark.range(0).select(F.col("id").cast("double").alias("x"))
+    for a, b in ((x, none), (none, x)):
+        r = dq.drift(a, b, ["x"]).first()
+        assert (r.psi, r.ks, r.drifted) == (None, None, True)
+        t = dq.target_drift(a, b, "x").first()
+        assert (t.psi, t.drifted) == (None, True)
+    assert [tuple(r) for r in dq.drift(none, none, ["x"]).collect()] == [("x", None, None, None, None, False)]
+    assert not dq.target_drift(none, none, "x").first().drifted
+
+
+def test_ks_is_exact_between_the_edges(spark):
+    """All movement happens inside one decile of the reference."""
+    ref = [float(i) for i in range(1000)]
+    cur = [x if not 500 < x < 599 else 501.0 for x in ref]
+    a, b = (spark.createDataFrame([(v,) for v in x], "x double") for x in (ref, cur))
+    want = max(abs(sum(r <= v for r in ref) - sum(c <= v for c in cur)) / 1000 for v in ref)
+    assert want > 0.09 and dq.drift(a, b, ["x"]).first().ks == pytest.approx(want)
+
+
 def test_target_drift_without_label(spark):
     x = spark.range(3).toDF("x")
     assert dq.target_drift(x, x).first().drifted is False
