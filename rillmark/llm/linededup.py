@@ -138,7 +138,7 @@ def _within(pairs: DataFrame, threshold: int) -> DataFrame:
 def split_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no from 0, line, h1, h2) of the lines with a word, edges trimmed; rows with a null doc_id have none."""
     cut = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    cut = cut.where("doc_id IS NOT NULL").withColumn("line", F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""))
+    cut = cut.where("doc_id IS NOT NULL").withColumn("line", F.trim("line", F.lit(" \t\n\x0b\x0c\r")))
     return cut.where("line <> ''").select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(2), "line").alias("h2"))
 
 
@@ -156,10 +156,9 @@ def _marked(lines: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def line_links(lines: DataFrame, classes: DataFrame, threshold: int, least: int) -> DataFrame:
     """Links (a, b) between the first lines of classes, a and b as struct(doc_id, line_no), a < b, each pair once."""
-    reps = classes.select("doc_id", "line_no")
-    first = lines.where(F.length("line") >= least).join(reps, ["doc_id", "line_no"], "left_semi").select(
-        "doc_id", "line_no", "line", "h1", "h2")
-    first = first.join(classes.select("doc_id", "line_no", "h1", "h2"), ["doc_id", "line_no", "h1", "h2"], "left_semi")
+    # one join on the whole key: another one on part of it would shuffle the texts twice
+    first = lines.where(F.length("line") >= least).join(
+        classes.select("doc_id", "line_no", "h1", "h2"), ["doc_id", "line_no", "h1", "h2"], "left_semi")
     keys = _keys(first, threshold)
     x, y = keys.where("role = 0").alias("x"), keys.alias("y")
     a, b = (F.struct(F.col(f"{s}.doc_id").alias("doc_id"), F.col(f"{s}.line_no").alias("line_no")) for s in "xy")
