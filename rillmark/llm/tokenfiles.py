@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -11,41 +13,73 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from rillmark.llm.common import stored
 from rillmark.operators.scale import running_total
 
-REMEMBERED = 200_000  # words whose ids a task keeps at once
+REMEMBERED = 250_000  # words, and pieces of words, whose ids a task keeps at once
+
+# How the tokenizer splits a word, and the character its vocabulary has for each byte.
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|[^\w\s]+|_+")
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_CHARS = dict(zip(_SHOWN, _SHOWN)) | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_PLAIN = re.compile(r"[!-^`-~\xc0-\xd6\xd8-\xf6\xf8-\u017f]+")
+
+
+class _Words(dict):
+    """Ids of words; a word that is not there is encoded. Two generations: what is still used outlives a clearing."""
+
+    def __init__(self, encode):
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, word):
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(word)
+        ids = self[word] = self.encode(word) if ids is None else ids
+        return ids
 
 
 class WordEncoder:
     """Ids of whole texts for a tokenizer that drops white space and lower-cases: texts are encoded word by word.
 
-    Each word goes through the tokenizers library; a task remembers words it has seen. A text that might hold the string of
-    a special token is given to the library whole.
+    Words of Latin letters, digits and ASCII signs are split by the tokenizer's pattern and their pieces go straight to the
+    library's model; other words go through the whole library. A task remembers words and pieces it has seen. A text
+    that might hold the string of a special token is given to the library whole.
     """
 
     def __init__(self, tokenizer: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.library = Tokenizer.from_str(tokenizer)
+        self.model = self.library.model
         self.end = np.array([end_id], "<u4").tobytes()
         self.marks = [t.content.lower().encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
+        self.pieces, self.words = _Words(self._piece), _Words(self._word)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_CHARS)
+        tokens = self.model.tokenize(piece)
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        got = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if not _PLAIN.fullmatch(text):
+            return self._whole(text)
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        low = [(t or b"").lower() for t in texts]
-        marked = {k for k, t in enumerate(low) if any(m in t for m in self.marks)}
-        split = [[] if k in marked else t.split() for k, t in enumerate(low)]
-        new = list({w for parts in split for w in parts if w not in self.known})
-        self.known.update(zip(new, self._encode(new), strict=True))
-        out = [b"".join([self.known[w] for w in parts]) for parts in split]
-        for k in marked:
-            out[k] = self._encode([texts[k]])[0]
-        return [x + self.end for x in out]
+        out = []
+        for t in texts:
+            low = (t or b"").lower()
+            if any(m in low for m in self.marks):
+                out.append(self._whole(t.decode()) + self.end)
+            else:
+                out.append(b"".join(map(self.words.__getitem__, low.split())) + self.end)
+        return out
 
 
 def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -111,5 +145,6 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
     number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
     rows = read_tokens(spark, path, ("doc_id", "ids", number.alias("file"), F.col("_metadata.row_index").alias("row")))
     rows = rows.mapInArrow(digest, "doc_id bigint, file int, row bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = stored(rows, "token-digests")  # a few numbers per document; the running total reads them twice
     placed = running_total(rows, [], "file", ["row"], F.col("n_tokens"), "end")
     return placed.select("doc_id", (F.col("end") - F.col("n_tokens")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")
