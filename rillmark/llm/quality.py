@@ -58,14 +58,16 @@ def _buckets(w: str) -> Column:
     return F.concat(ones, F.slice(pairs, 1, F.greatest(F.size(w) - 1, F.lit(0))))
 
 
-def ratio_weights(docs: DataFrame, trusted: DataFrame) -> list[int]:
+def ratio_weights(docs: DataFrame, trusted: DataFrame, most: int = 20_000) -> list[int]:
     """ln(target share / raw share) of every bucket in millionths, add-one smoothed.
 
-    Raw counts are of all documents, target counts of all documents with an id in ``trusted`` (doc_id). Counting sums in
-    each task first; BUCKETS pairs of numbers reach the driver.
+    Raw counts are of all documents. The target model is fitted on at most ``most`` of the ids in ``trusted`` (doc_id), those
+    with the least hash: so few ids can be broadcast at any size of the tables, and no text is shuffled to find them.
+    Counting sums in each task first; BUCKETS pairs of numbers reach the driver.
     """
-    marks = trusted.select(F.col("doc_id").alias("_id")).distinct().withColumn("_target", F.lit(1))
-    rows = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id"), "left")
+    marks = trusted.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
+    marks = marks.orderBy(F.xxhash64("_id"), "_id").limit(most).withColumn("_target", F.lit(1))
+    rows = docs.select("doc_id", "text").join(F.broadcast(marks), F.col("doc_id") == F.col("_id"), "left")
     rows = rows.select(words(F.col("text")).alias("w"), F.coalesce("_target", F.lit(0)).alias("t"))
     counts = rows.select("t", F.explode(_buckets("w")).alias("b")).groupBy("b").agg(
         F.count("*").alias("raw"), F.sum("t").alias("target")).collect()
