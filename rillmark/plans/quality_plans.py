@@ -269,6 +269,14 @@ def status_distribution(spark, root):
     return _round(mo.status_distribution(http(spark, root)), "share")
 
 
+@query("throughput", with_views("http", """
+    WITH c AS (SELECT service, date_trunc('hour', ts) AS window_start FROM http)
+    SELECT service, window_start, CAST(count(*) AS BIGINT) AS requests, round(count(*) / CAST(3600 AS DOUBLE), 6) AS per_second
+    FROM c GROUP BY GROUPING SETS ((service, window_start), (window_start))"""))
+def throughput(spark, root):
+    return _round(mo.throughput(http(spark, root)), "per_second")
+
+
 @query("hit_ratio", with_views("http", """
     SELECT service, date_trunc('day', ts) AS window_start, count(*) AS requests, count(*) FILTER (event_type = 'view') AS hits,
            round(count(*) FILTER (event_type = 'view') / CAST(count(*) AS DOUBLE), 6) AS ratio FROM http GROUP BY 1, 2"""))

@@ -46,11 +46,19 @@ def scored_with_popularity(spark, root):
     return scored(spark, root).join(share, "item_id", "left")
 
 
-def predictions(spark, root):
+def seen_counts(spark, root):
     seen = valid_events(spark, root).where(F.col("timestamp") < F.lit(SPLIT).cast("timestamp"))
-    n = seen.groupBy("user_id", "item_id").agg(F.count("*").cast("double").alias("score"))
-    # Whole lists are ranked: the average precision is defined over all of a list.
-    return rr.ranked_lists(n)
+    return seen.groupBy("user_id", "item_id").agg(F.count("*").cast("double").alias("score"))
+
+
+def predictions(spark, root):
+    """Whole lists: the average precision is defined over all of a list."""
+    return rr.ranked_lists(seen_counts(spark, root))
+
+
+def first_ten(spark, root):
+    """The first ten of each list, cut before the shuffle; enough for what looks at a list's head."""
+    return rr.top_items(seen_counts(spark, root), 10)
 
 
 def actuals(spark, root):
@@ -77,14 +85,14 @@ _EVAL = """
 @query("ndcg_at_k", with_views("pred act", _EVAL + """
     SELECT b.user_id, round(coalesce(dcg / idcg, 0), 6) AS ndcg FROM b LEFT JOIN i ON b.user_id = i.user_id"""))
 def ndcg_at_k(spark, root):
-    return _round(el.evaluate(predictions(spark, root), actuals(spark, root), 10).select("user_id", "ndcg"), "ndcg")
+    return _round(el.evaluate(first_ten(spark, root), actuals(spark, root), 10).select("user_id", "ndcg"), "ndcg")
 
 
 @query("precision_recall_at_k", with_views("pred act", _EVAL + """
     SELECT user_id, round(coalesce(hits / CAST(listed AS DOUBLE), 0), 6) AS precision,
            round(coalesce(hits / CAST(n AS DOUBLE), 0), 6) AS recall FROM b"""))
 def precision_recall_at_k(spark, root):
-    df = el.evaluate(predictions(spark, root), actuals(spark, root), 10).select("user_id", "precision", "recall")
+    df = el.evaluate(first_ten(spark, root), actuals(spark, root), 10).select("user_id", "precision", "recall")
     return _round(df, "precision", "recall")
 
 
@@ -115,8 +123,7 @@ def map_score(spark, root):
            round(CAST((SELECT count(*) FROM c WHERE item_id IN (SELECT item_id FROM r)) AS DOUBLE) / count(*), 6)
              AS coverage FROM c"""))
 def catalog_coverage(spark, root):
-    top = predictions(spark, root).where(F.col("rank") <= 10)
-    return _round(el.coverage(top, item_categories(spark, root)), "coverage")
+    return _round(el.coverage(first_ten(spark, root), item_categories(spark, root)), "coverage")
 
 
 @query("list_diversity", with_views("scored", """

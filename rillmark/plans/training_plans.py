@@ -51,11 +51,15 @@ def negatives_orders(spark, root):
 
 _FEATURES = f"""
     uf AS (SELECT user_id, count(*) AS total_interactions, count(*) FILTER (event_type = 'view') AS total_views_user,
-                  count(*) FILTER (event_type = 'click') AS total_clicks_user, avg(rating) AS avg_rating_given
+                  count(*) FILTER (event_type = 'click') AS total_clicks_user, avg(rating) AS avg_rating_given,
+                  count(*) FILTER (event_type = 'rating') AS total_ratings, count(DISTINCT CAST(ts AS DATE)) AS interaction_days
            FROM ev GROUP BY 1),
     itf AS (SELECT item_id, count(*) FILTER (event_type = 'view') AS total_views_item,
                    count(*) FILTER (event_type = 'click') AS total_clicks_item, avg(rating) AS avg_rating_received,
-                   count(rating) AS rating_count
+                   count(rating) AS rating_count,
+                   CASE WHEN count(*) FILTER (event_type = 'view') > 0
+                        THEN count(*) FILTER (event_type = 'click') / CAST(count(*) FILTER (event_type = 'view') AS DOUBLE)
+                        ELSE 0 END AS click_through_rate
             FROM ev GROUP BY 1),
     o AS (SELECT *, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS sig FROM ev),
     la AS (SELECT user_id, item_id, event_type, ts FROM o
@@ -67,8 +71,9 @@ _FEATURES = f"""
 
 _OUT = ["user_id", "item_id", "interaction_count", "last_interaction_type", "time_since_last_interaction",
         "user_item_rating", "total_interactions", "total_views_user", "total_clicks_user", "avg_rating_given",
-        "total_views_item", "total_clicks_item", "avg_rating_received", "rating_count", "label"]
-_ROUND = {"time_since_last_interaction", "user_item_rating", "avg_rating_given", "avg_rating_received"}
+        "total_views_item", "total_clicks_item", "avg_rating_received", "rating_count", "total_ratings", "interaction_days",
+        "click_through_rate", "label"]
+_ROUND = {"time_since_last_interaction", "user_item_rating", "avg_rating_given", "avg_rating_received", "click_through_rate"}
 _SQL_OUT = ", ".join(f"round({c}, 6) AS {c}" if c in _ROUND else c for c in _OUT)
 
 
@@ -98,7 +103,7 @@ def training_set(spark, root):
 
 _MATRIX = ["total_interactions", "total_clicks_user", "total_views_user", "avg_rating_given", "total_views_item",
            "total_clicks_item", "avg_rating_received", "rating_count", "interaction_count",
-           "time_since_last_interaction", "user_item_rating"]
+           "time_since_last_interaction", "user_item_rating", "total_ratings", "interaction_days", "click_through_rate"]
 _MATRIX_SQL = ", ".join(
     f"round(coalesce({c}, 0), 6) AS {c}" if c in _ROUND else f"coalesce({c}, 0) AS {c}" for c in _MATRIX)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -73,14 +75,15 @@ def online_update(
 ) -> Callable[[DataFrame, int], None]:
     """Handler for raw events: batch features per user and item, folded-in user factors, and the retrain state.
 
-    The k x k inverse of the item factors is computed once. The tables below ``root`` are user_delta, item_delta, user_factors and
-    retrain; each holds one folder per batch, so a retry after a failure repeats a batch without doubling it.
+    The k x k inverse of the item factors is computed once. The tables below ``root`` are user_delta, item_delta, user_factors,
+    retrain and metrics (rows, seconds and whether a retrain fired); each holds one folder per batch, so a retry after a
+    failure repeats a batch without doubling it. A batch is read once: it is held while its tables are written.
     """
     inverse = ml.gram_inverse(factors, reg)
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        events = df.select("user_id", "item_id", "event_type", "rating", "timestamp")
+        spark, began = df.sparkSession, time.monotonic()
+        events = df.persist(StorageLevel.MEMORY_AND_DISK).select("user_id", "item_id", "event_type", "rating", "timestamp")
         for key, name in (("user_id", "user_delta"), ("item_id", "item_delta")):
             batch_writer(f"{root}/{name}")(ft.entity_state(events, key), batch_id)
         weighted = events.select("user_id", "item_id", F.coalesce("rating", F.lit(1.0)).alias("rating"), "timestamp")
@@ -95,6 +98,10 @@ def online_update(
                 F.lit(started_at).cast("timestamp").alias("last_retrain"))
         batch_writer(f"{root}/retrain")(
             advance_retrain_state(before.select("model", "events_since", "last_retrain"), stats, rule), batch_id)
+        fired = spark.read.parquet(f"{root}/retrain/batch_id={batch_id}").agg(F.coalesce(F.bool_or("retrain"), F.lit(False))).scalar()
+        batch_writer(f"{root}/metrics")(events.groupBy().agg(F.count("*").alias("rows")).select(
+            F.lit(model).alias("model"), "rows", F.lit(time.monotonic() - began).alias("seconds"), fired.alias("retrain")), batch_id)
+        df.unpersist()
     return handle
 
 

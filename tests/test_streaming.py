@@ -152,5 +152,8 @@ def test_online_learning_updates_and_resets_the_trigger(spark, drop):
     steps = [(r.batch_id, r.events_since, r.retrain, r.reason)
              for r in spark.read.parquet(f"{root}/retrain").orderBy("batch_id").collect()]
     assert steps == [(0, 2, False, "Conditions not met"), (1, 0, True, "events")]
+    kept = [(r.batch_id, r.model, r.rows, r.retrain, r.seconds > 0)
+            for r in spark.read.parquet(f"{root}/metrics").orderBy("batch_id").collect()]
+    assert kept == [(0, "als", 2, False, True), (1, "als", 2, True, True)]
     latest = {r.user_id: r.features for r in sinks.read_latest(spark, f"{root}/user_factors", ["user_id"]).collect()}
     assert latest["u"] == [pytest.approx(0.0), pytest.approx(1 / 1.1)] and latest["w"] == [0.0, 0.0]

@@ -71,6 +71,15 @@ def test_pair_features_of_tied_events(spark):
     assert got["u", "a"].time_since_last_interaction == 36.0
 
 
+@pytest.mark.parametrize("at", ["1969-12-31 23:59:59.999999", "2042-05-06 07:08:09.000001", "0500-01-01 00:00:00"])
+@pytest.mark.parametrize("kind", ["view", "click", "rating"])
+def test_pair_features_at_far_times(spark, at, kind):
+    df = spark.createDataFrame([("u", "a", kind, 3.0 if kind == "rating" else None)], "user_id string, item_id string, event_type string, rating double")
+    df = df.withColumn("timestamp", F.lit(at).cast("timestamp"))
+    got = ft.pair_features(df, at).first()
+    assert (got.last_interaction_type, got.time_since_last_interaction) == (kind, 0.0)
+
+
 def test_split_and_folds_cover_everything(pairs):
     by = {r.split: r["count"] for r in tr.split(pairs).groupBy("split").count().collect()}
     assert sum(by.values()) == pairs.count() and by["train"] > 0.7 * pairs.count()
