@@ -59,7 +59,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
         sized.groupBy("source").agg(F.sum("size").alias("s")).withColumnRenamed("source", "_s"),
         F.col("source").eqNullSafe(F.col("_s")), "left").select("source", F.coalesce("s", F.lit(0)).alias("source_size"))
     targets = stored(source_targets(total, weights, share, repeats), "targets")
-    placed = sized.withColumn("slice", F.substring("lot", 1, 4)).withColumn("_null", F.col("source").isNull()).withColumn(
+    placed = sized.withColumn("slice", F.substring("lot", 1, 3)).withColumn("_null", F.col("source").isNull()).withColumn(
         "source", F.coalesce("source", F.lit("")))
     placed = running_total(placed, ["source", "_null"], "slice", ["lot", "size"], F.col("size"), "done", peers=True)
     placed = placed.withColumn("source", F.when(~F.col("_null"), F.col("source")))
