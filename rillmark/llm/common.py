@@ -35,7 +35,7 @@ def words(text: Column) -> Column:
 
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_SLICE = 1 << 21  # bytes of text hashed at once; bounds a task's memory, not what it reads
+_SLICE = 1 << 19  # bytes of text hashed at once; bounds a task's memory, not what it reads
 
 
 @functools.lru_cache(maxsize=1)
