@@ -175,18 +175,23 @@ class Scorer:
 def _terms_of(text: Column, stems: tuple[int, ...]) -> Column:
     """Distinct words (lower case) of a text, and as 'stem*' the beginnings of its longer words."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}]{3,}"), F.lit(0)))
-    cut = [F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))
-           for n in stems]
-    return F.array_distinct(F.concat(words, *cut)) if stems else words
 
+    def beginnings(n: int) -> Column:  # lambdas of one argument: Spark would pass the index as a second one
+        return F.transform(F.filter(words, lambda w: F.length(w) > n), lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
 
-def learn_lexicon(sample: DataFrame, size: int = 500, support: int = 8, ratio: float = 3.0,
+    return F.array_distinct(F.concat(words, *map(beginnings, stems))) if stems else words
+
+
+def learn_lexicon(sample: DataFrame, size: int = 500, support: int = 8, ratio: float = 1.5,
                   stems: tuple[int, ...] = (4, 5, 6, 7)) -> list[Term]:
     """Terms of toxic texts: at least ``support`` toxic texts have them and their log odds ratio is ``ratio`` or more.
 
+    Stems that clean texts hold once in a while are terms of a small weight: the fitted features decide by the number and
+    density of their matches. A longer term goes under a stem only if its odds are no higher, so its own weight is kept.
+
     ``sample`` (toxic, text) is a bounded sample of labelled rows. Terms of its toxic texts are counted first; only those
-    with support are counted in the other texts. ``size`` terms at most reach the driver. A word stands for a stem that it
-    nearly fills, a stem for its words otherwise.
+    with support are counted in the other texts. 4 * ``size`` terms at most reach the driver, those with the largest product of
+    texts and log odds. A word stands for a stem that it nearly fills, a stem for its words otherwise.
     """
     texts = sample.select("toxic", F.explode(_terms_of(F.col("text"), stems)).alias("term"))
     often = texts.where("toxic = 1").groupBy("term").agg(F.count("*").alias("t")).where(F.col("t") >= support)
@@ -195,7 +200,8 @@ def learn_lexicon(sample: DataFrame, size: int = 500, support: int = 8, ratio: f
     bad, good = of.get(1, 0), of.get(0, 0)
     odds = F.log((F.col("t") + 0.5) / (bad - F.col("t") + 0.5)) - F.log(
         (F.coalesce("n", F.lit(0)) + 0.5) / (good - F.coalesce("n", F.lit(0)) + 0.5))
-    top = counts.withColumn("odds", odds).where(F.col("odds") >= ratio).orderBy(F.desc("t"), "term").limit(4 * size).collect()
+    top = counts.withColumn("odds", odds).where(F.col("odds") >= ratio).orderBy(
+        F.desc(F.col("t") * F.col("odds")), "term").limit(4 * size).collect()
     count = {r.term: r.t for r in top}
     odds_of = {r.term: r.odds for r in top}
     kept: list[str] = []
@@ -204,9 +210,9 @@ def learn_lexicon(sample: DataFrame, size: int = 500, support: int = 8, ratio: f
         longer = [x for x in count if x != term and x.startswith(body) and len(x.rstrip("*")) >= len(body)]
         if term.endswith("*") and any(count[x] >= 0.9 * count[term] for x in longer):
             continue  # a longer stem or a word says the same
-        if not any(k.endswith("*") and body.startswith(k[:-1]) for k in kept):
+        if not any(k.endswith("*") and body.startswith(k[:-1]) and odds_of[term] <= odds_of[k] for k in kept):
             kept.append(term)
-    kept = sorted(kept, key=lambda x: (-count[x], x))[:size]
+    kept = sorted(kept, key=lambda x: (-count[x] * odds_of[x], x))[:size]
     most = max((odds_of[x] for x in kept), default=1.0)
     edits = lambda x: 0 if x.endswith("*") or len(x) < 5 else 1 if len(x) < 9 else 2
     return [Term(x.rstrip("*"), x.endswith("*"), edits(x), odds_of[x] / most) for x in kept]

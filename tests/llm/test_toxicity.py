@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from rillmark.llm import queries
-from rillmark.llm.toxicity import Scorer, Term, TermAutomaton, fit, quoted, toxicity, train
+from rillmark.llm.toxicity import Scorer, Term, TermAutomaton, _terms_of, fit, learn_lexicon, quoted, toxicity, train
 
 from .test_linededup import distance
 
@@ -67,3 +68,31 @@ def test_odd_rows(spark, docs_of):
 
 def test_one_class_only():
     assert fit(np.zeros((3, 5)), np.array([0, 0, 0]))[-1] < 0 < fit(np.zeros((3, 5)), np.array([1, 1, 1]))[-1]
+
+
+def test_stems_are_the_beginnings_of_longer_words(spark):
+    row = spark.createDataFrame([("an Alphabet beta",)], "text string").select(_terms_of(F.col("text"), (4, 5)).alias("x")).first()
+    assert sorted(row.x) == ["alph*", "alpha*", "alphabet", "beta"]
+
+
+def test_stems_with_modest_odds_are_weighted_terms(spark):
+    ends = ["ab", "ec", "id", "of", "ug", "ah", "ej", "ik", "ol", "um", "an", "ep"]
+    rng = random.Random(8)
+    word = lambda: "vorm" + rng.choice(ends) + rng.choice(ends) + rng.choice(ends)
+    rows = [(1, f"plain talk {word()} {word()} and {word()} here") for _ in range(60)]
+    rows += [(0, f"plain talk and {word()} here" if k < 40 else "plain talk and more here") for k in range(240)]
+    terms = learn_lexicon(spark.createDataFrame(rows, "toxic int, text string"))
+    assert any(t.stem and t.text.startswith("vorm") for t in terms), terms  # 60 of 60 and 40 of 240
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, (y, _) in enumerate(rows)], "doc_id bigint, toxic int")
+    model = train(docs, labels)
+    new = spark.createDataFrame([(1, f"some {word()} talk {word()} of {word()} now"), (2, f"some {word()} talk of more now")],
+                                "doc_id bigint, text string")
+    assert {r.doc_id: r.predicted for r in toxicity(new, model).collect()} == {1: 1, 2: 0}
+
+
+def test_rarer_words_with_higher_odds_stay_beside_their_stem(spark):
+    rows = [(1, "talk " + ("vormaxul vormix" if k < 20 else "vormely" if k < 40 else "vormitz")) for k in range(60)] + [(1, "talk nothing")] * 60
+    rows += [(0, "talk " + ("vormely" if k < 20 else "vormitz" if k < 40 else "more")) for k in range(240)]
+    terms = {t.text + "*" * t.stem: t for t in learn_lexicon(spark.createDataFrame(rows, "toxic int, text string"))}
+    assert "vorm*" in terms and any(t.startswith("vorma") and terms[t].weight > terms["vorm*"].weight for t in terms), terms
