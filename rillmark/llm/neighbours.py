@@ -23,7 +23,6 @@ class Index:
     nodes: DataFrame
     members: DataFrame
     lists: DataFrame
-    scale: float
 
 
 def _valid(vectors: DataFrame, key: str, column: str) -> DataFrame:
@@ -33,19 +32,32 @@ def _valid(vectors: DataFrame, key: str, column: str) -> DataFrame:
         F.col(key).cast("bigint").alias("vec_id"), v.alias("v"))
 
 
-def _coded(nodes: DataFrame, scale: float) -> DataFrame:
-    """Add code: the vector in whole 127ths of the largest component, a byte each; only used to choose candidates."""
+def _coded(nodes: DataFrame) -> DataFrame:
+    """Add code: the vector's largest component (double), then the vector in parts of it (single precision).
+
+    Each vector has its own scale, so a very long one takes nothing from the others, and no product leaves the range.
+    """
     def code(batches):
         for batch in batches:
-            x = [np.clip(np.rint(np.asarray(v.values) * (127 / scale)), -127, 127).astype(np.int8).tobytes() for v in batch.column("v")]
+            x = []
+            for v in batch.column("v"):
+                v = np.asarray(v.values)
+                top = np.abs(v).max()
+                x.append(top.tobytes() + (v / top).astype(np.float32).tobytes())
             yield batch.append_column("code", pa.array(x, _FLAT))
 
     return nodes.mapInArrow(code, "node bigint, v array<double>, code binary")
 
 
-def _matrix(codes: pa.Array) -> np.ndarray:
-    raw = b"".join(codes.to_pylist())
-    return np.frombuffer(raw, np.int8).reshape(len(codes), -1).astype(np.float32)
+def _matrix(codes: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors in parts of their scales, and the scales."""
+    raw = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(len(codes), -1)
+    return np.ascontiguousarray(raw[:, 8:]).view(np.float32), np.ascontiguousarray(raw[:, :8]).view(np.float64).ravel()
+
+
+def _products(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Inner products of all pairs of two sets of vectors, each as (parts, scales)."""
+    return (a[0] @ b[0].T) * np.outer(a[1], b[1])
 
 
 def _best(ids: np.ndarray, sims: np.ndarray, most: int):
@@ -70,7 +82,7 @@ def _first_lists(nodes: DataFrame, k: int, count: int, rounds: int, seed: int) -
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, ids = _matrix(batch.column("code")), batch.column("node").to_numpy()
+            (x, _), ids = _matrix(batch.column("code")), batch.column("node").to_numpy()
             for r in range(rounds):
                 rng = np.random.default_rng((seed, r))
                 if r and bits:
@@ -87,17 +99,17 @@ def _first_lists(nodes: DataFrame, k: int, count: int, rounds: int, seed: int) -
 
     def compare(block: pa.Table) -> pa.Table:
         ids = block.column("node").to_numpy()
-        x = _matrix(block.column("code").combine_chunks())
+        x, scale = _matrix(block.column("code").combine_chunks())
         out = []
         for at in range(0, len(ids), 4 * BLOCK):
-            sims = x[at:at + 4 * BLOCK] @ x.T
+            sims = _products((x[at:at + 4 * BLOCK], scale[at:at + 4 * BLOCK]), (x, scale))
             sims[np.arange(len(sims)), np.arange(at, at + len(sims))] = -np.inf
             rows, cols = _best(ids, sims, k)
             out.append((ids[rows + at], ids[cols], sims[rows, cols]))
         return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], names=["node", "other", "sim"])
 
     return placed.join(sizes, ["round", "cell"]).withColumn("part", part).groupBy("round", "cell", "part").applyInArrow(
-        compare, "node bigint, other bigint, sim float")
+        compare, "node bigint, other bigint, sim double")
 
 
 def _merged(lists: DataFrame, k: int) -> DataFrame:
@@ -124,22 +136,22 @@ def _descend(lists: DataFrame, nodes: DataFrame, k: int, back: int, emitted: int
     def compare(block: pa.Table) -> pa.Table:
         order = np.argsort(block.column("node").to_numpy(), kind="stable")
         node, other = block.column("node").to_numpy()[order], block.column("other").to_numpy()[order]
-        x = _matrix(block.column("code").combine_chunks())[order]
+        x, scale = (c[order] for c in _matrix(block.column("code").combine_chunks()))
         fresh = block.column("fresh").to_numpy()[order].astype(bool)
-        worst = block.column("worst").to_pandas().fillna(-np.inf).to_numpy(np.float32)[order]
+        worst = block.column("worst").to_pandas().fillna(-np.inf).to_numpy(np.float64)[order]
         cuts = np.flatnonzero(np.diff(node)) + 1
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for a, b in zip([0, *cuts], [*cuts, len(node)], strict=True):
             if b - a < 2 or not fresh[a:b].any():
                 continue
-            sims = x[a:b] @ x[a:b].T
+            sims = _products((x[a:b], scale[a:b]), (x[a:b], scale[a:b]))
             sims[~(fresh[a:b, None] | fresh[None, a:b]) | (sims <= worst[a:b, None])] = -np.inf
             np.fill_diagonal(sims, -np.inf)
             r, c = _best(other[a:b], sims, emitted)
             out.append((other[a + r], other[a + c], sims[r, c]))
         return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], names=["node", "other", "sim"])
 
-    offers = rows.groupBy("block").applyInArrow(compare, "node bigint, other bigint, sim float")
+    offers = rows.groupBy("block").applyInArrow(compare, "node bigint, other bigint, sim double")
     seen = lists.select("node", "other", "sim").withColumn("fresh", F.lit(False))
     return _merged(offers.withColumn("fresh", F.lit(True)).unionByName(seen), k)
 
@@ -161,8 +173,7 @@ def build(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", k:
     members = stored(ids.select("vec_id", "h1", "h2").join(nodes, ["h1", "h2"]).select("node", "vec_id"), "members")
     rows = ids.join(nodes.select("h1", "h2", F.col("node").alias("vec_id")), ["h1", "h2", "vec_id"]).select(
         F.col("vec_id").alias("node"), "v").dropDuplicates(["node"])
-    scale = own.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 1.0
-    nodes = stored(_coded(rows, scale), "nodes")
+    nodes = stored(_coded(rows), "nodes")
     count = nodes.count()
     lists = _first_lists(nodes, k, count, begin, seed).withColumn("fresh", F.lit(True))
     lists = stored(_merged(lists, k), "lists")
@@ -173,7 +184,7 @@ def build(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", k:
     edges = _both_ways(lists, back, rounds).select("node", "other").join(
         nodes.select(F.col("node").alias("other"), "code"), "other")
     near = edges.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("other", "code"))).alias("near"))
-    return Index(nodes, members, stored(near, "graph"), scale)
+    return Index(nodes, members, stored(near, "graph"))
 
 
 def _widened(pool: DataFrame, index: Index, wide: int, step: int) -> DataFrame:
@@ -186,18 +197,19 @@ def _widened(pool: DataFrame, index: Index, wide: int, step: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            q = _matrix(batch.column("q"))
+            q, scale = _matrix(batch.column("q"))
             near = batch.column("near")
             flat, ends = near.values, near.offsets.to_numpy()
             row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
             flat = flat.slice(ends[0], ends[-1] - ends[0])
-            sims = np.einsum("ij,ij->i", _matrix(flat.field("code")), q[row])
-            worst = batch.column("worst").to_pandas().fillna(-np.inf).to_numpy(np.float32)
+            x, own = _matrix(flat.field("code"))
+            sims = np.einsum("ij,ij->i", x, q[row]) * (own * scale[row])
+            worst = batch.column("worst").to_pandas().fillna(-np.inf).to_numpy(np.float64)
             ok = sims >= worst[row]
             yield pa.record_batch({"query": batch.column("query").take(pa.array(row[ok])), "q": batch.column("q").take(pa.array(row[ok])),
-                                   "node": flat.field("other").filter(pa.array(ok)), "sim": pa.array(sims[ok].astype(np.float32))})
+                                   "node": flat.field("other").filter(pa.array(ok)), "sim": pa.array(sims[ok])})
 
-    found = met.mapInArrow(score, "query bigint, q binary, node bigint, sim float").withColumn("done", F.lit(False))
+    found = met.mapInArrow(score, "query bigint, q binary, node bigint, sim double").withColumn("done", F.lit(False))
     opened = todo.select("query", "node").withColumn("_open", F.lit(True))
     old = pool.join(opened, ["query", "node"], "left").withColumn("done", F.col("done") | F.coalesce("_open", F.lit(False)))
     once = old.drop("_open").unionByName(found).groupBy("query", "node").agg(
@@ -217,7 +229,7 @@ def search(index: Index, queries: DataFrame, key: str = "vec_id", column: str =
     """
     own = _valid(queries, key, column).groupBy("vec_id").agg(F.min("v").alias("v")).withColumnRenamed("vec_id", "node")
     shape = index.nodes.select(F.size("v").alias("d")).first()
-    own = stored(_coded(own.where(F.size("v") == (shape.d if shape else -1)), index.scale).select(
+    own = stored(_coded(own.where(F.size("v") == (shape.d if shape else -1))).select(
         F.col("node").alias("query"), "v", F.col("code").alias("q")), "queries")
     doors = index.nodes.orderBy(F.xxhash64("node"), "node").limit(entries).select("node", "code").toArrow()
     ids, codes = doors.column("node").to_pylist(), _matrix(doors.column("code").combine_chunks()) if len(doors) else None
@@ -227,14 +239,14 @@ def search(index: Index, queries: DataFrame, key: str = "vec_id", column: str =
             if not batch.num_rows or codes is None:
                 continue
             n = batch.num_rows
-            sims = _matrix(batch.column("q")) @ codes.T
+            sims = _products(_matrix(batch.column("q")), codes)
             row = np.repeat(np.arange(n), len(ids))
             yield pa.record_batch({"query": batch.column("query").take(pa.array(row)), "q": batch.column("q").take(pa.array(row)),
-                                   "node": pa.array(ids * n, pa.int64()), "sim": pa.array(sims.ravel().astype(np.float32))})
+                                   "node": pa.array(ids * n, pa.int64()), "sim": pa.array(sims.ravel())})
 
-    first = own.select("query", "q").mapInArrow(enter, "query bigint, q binary, node bigint, sim float")
+    first = own.select("query", "q").mapInArrow(enter, "query bigint, q binary, node bigint, sim double")
     home = own.join(index.members.withColumnRenamed("vec_id", "query"), "query").select(
-        "query", "q", "node", F.lit(float("inf")).cast("float").alias("sim"))  # its own node comes first
+        "query", "q", "node", F.lit(float("inf")).alias("sim"))  # its own node comes first
     pool = first.unionByName(home).groupBy("query", "node").agg(F.any_value("q").alias("q"), F.max("sim").alias("sim"))
     pool = stored(pool.withColumn("done", F.lit(False)), "pool")
     while pool.where("NOT done").limit(1).count():

@@ -74,3 +74,20 @@ def test_empty_table_and_strange_queries(table_of):
     table = table_of([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0])])
     other = table_of([(100, [2.0, 1.0]), (101, [1.0]), (102, None)])
     assert found(search(build(table), other, k=2)) == {100: [(3.0, 3), (2.0, 1)]}
+
+
+def test_one_very_long_vector_among_ordinary_ones(table_of):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((20, 16))
+    rows = [(i, [float(np.float32(x)) for x in (centres[i % 20] + 0.4 * rng.standard_normal(16)) * (1e4 if i == 777 else 1)]) for i in range(1500)]
+    table = table_of(rows)
+    got, want = found(search(build(table), table.where("vec_id % 20 = 0"))), brute(rows, {i for i, _ in rows if i % 20 == 0}, 20)
+    assert sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want) >= 0.95 * 20 * len(want)
+
+
+def test_lengths_of_very_different_order(table_of):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(8) * 10.0 ** (i % 60 - 25)]) for i in range(600)]
+    table = table_of(rows)
+    got, want = found(search(build(table), table.where("vec_id % 30 = 7"))), brute(rows, {i for i, _ in rows if i % 30 == 7}, 20)
+    assert sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want) >= 0.95 * 20 * len(want)
