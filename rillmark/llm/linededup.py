@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,15 +33,31 @@ def probes(length: int, threshold: int) -> list[tuple[int, int, int, int]]:
     Of two strings within ``threshold`` edits, one of the shorter one's segments stands in the longer one near its
     place: at most as many edits lie before it as segments, and what follows must make up for the rest.
     """
+    return [x for less in range(threshold + 1) for x in _probes_of(length, less, threshold)]
+
+
+def _probes_of(length: int, less: int, threshold: int) -> list[tuple[int, int, int, int]]:
     out = []
-    for less in range(threshold + 1):
-        for k, (at, size) in enumerate(segments(length - less, threshold + 1) if length >= less else []):
-            low = max(0, at - k, at + less - (threshold - k))
-            high = min(length - size, at + k, at + less + (threshold - k))
-            out += [(length - less, k, start, size) for start in range(low, high + 1)]
+    for k, (at, size) in enumerate(segments(length - less, threshold + 1) if length >= less else []):
+        low = max(0, at - k, at + less - (threshold - k))
+        high = min(length - size, at + k, at + less + (threshold - k))
+        out += [(length - less, k, start, size) for start in range(low, high + 1)]
     return out
 
 
+@dataclasses.dataclass(frozen=True)
+class Rule:
+    """Edits allowed between two lines by the length of the shorter: none under ``least`` code points, one under ``full``,
+    else ``threshold``."""
+
+    threshold: int = 2
+    least: int = 8
+    full: int = 12
+
+    def edits(self, length: int) -> int:
+        return 0 if length < self.least else self.threshold if length >= self.full else min(1, self.threshold)
+
+
 def _parity(lines: list[bytes]) -> np.ndarray:
     """A bit per character class, set if the line has an odd number of them: an edit flips two at most."""
     data = np.frombuffer(b"".join(lines), np.uint8)
@@ -48,8 +66,11 @@ def _parity(lines: list[bytes]) -> np.ndarray:
     return np.bitwise_xor.reduceat(bit, starts).view(np.int64)
 
 
-def _keys(lines: DataFrame, threshold: int) -> DataFrame:
-    """Segment rows (role 0) and probe rows (role 1) of every line; a probe at a segment's own place is its segment row."""
+def _keys(lines: DataFrame, rule: Rule) -> DataFrame:
+    """Segment rows and probe rows of every line; a probe at a segment's own place is its segment row.
+
+    role is twice the edits allowed for the length that is looked up, and one more for a probe row.
+    """
     def emit(batches):
         plans: dict[int, tuple] = {}
         for batch in batches:
@@ -60,8 +81,12 @@ def _keys(lines: DataFrame, threshold: int) -> DataFrame:
                 for s in texts:
                     n = len(s)
                     if n not in plans:
-                        own = {(n, k, a, z) for k, (a, z) in enumerate(segments(n, threshold + 1))}
-                        plans[n] = [(x, 0) for x in own] + [(x, 1) for x in probes(n, threshold) if x not in own]
+                        own = {(n, k, a, z) for k, (a, z) in enumerate(segments(n, rule.edits(n) + 1))}
+                        plans[n] = [(x, 2 * rule.edits(n)) for x in own]
+                        for less in range(rule.threshold + 1):
+                            edits = rule.edits(n - less)  # those of the shorter line
+                            if edits >= max(1, less):
+                                plans[n] += [(x, 2 * edits + 1) for x in _probes_of(n, less, edits) if x not in own]
                         if len(plans) > 1 << 13:
                             plans = {n: plans[n]}
                     for (m, k, a, z), role in plans[n]:
@@ -114,20 +139,22 @@ def banded_distances(a: list[str], b: list[str], threshold: int) -> np.ndarray:
     return (np.abs(m - n) <= threshold) & (distance <= threshold)
 
 
-def _within(pairs: DataFrame, threshold: int) -> DataFrame:
-    """Pairs whose texts (ta, tb) are within the threshold."""
+def _within(pairs: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs whose texts (ta, tb; the shorter one first) are within the edits that the rule allows."""
     def verify(batches):
         for batch in batches:
             a, b = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
-            order = np.argsort([len(x) for x in b], kind="stable")
+            edits = np.array([rule.edits(len(x)) for x in a], np.int64)
+            order = np.lexsort(([len(x) for x in b], edits))
             ok = np.zeros(len(a), bool)
             at = 0
-            while at < len(a):  # runs of similar length, bounded in cells
+            while at < len(a):  # runs of similar length and equal edits, bounded in cells
                 end = at + 1
-                while end < len(a) and (end - at + 1) * (len(b[order[end]]) + 8) <= 1 << 20:
+                while (end < len(a) and edits[order[end]] == edits[order[at]]
+                       and (end - at + 1) * (len(b[order[end]]) + 8) <= 1 << 20):
                     end += 1
                 pick = order[at:end]
-                ok[pick] = banded_distances([a[k] for k in pick], [b[k] for k in pick], threshold)
+                ok[pick] = banded_distances([a[k] for k in pick], [b[k] for k in pick], int(edits[order[at]]))
                 at = end
             yield batch.filter(pa.array(ok)).select(["a", "b"])
 
@@ -154,17 +181,17 @@ def _marked(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return lines.join(F.broadcast(bits), word == F.col("_word")).where(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
 
 
-def line_links(lines: DataFrame, classes: DataFrame, threshold: int, least: int) -> DataFrame:
+def line_links(lines: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) between the first lines of classes, a and b as struct(doc_id, line_no), a < b, each pair once."""
     # one join on the whole key: another one on part of it would shuffle the texts twice
-    first = lines.where(F.length("line") >= least).join(
+    first = lines.where(F.length("line") >= rule.least).join(
         classes.select("doc_id", "line_no", "h1", "h2"), ["doc_id", "line_no", "h1", "h2"], "left_semi")
-    keys = _keys(first, threshold)
-    x, y = keys.where("role = 0").alias("x"), keys.alias("y")
+    keys = _keys(first, rule)
+    x, y = keys.where("role % 2 = 0").alias("x"), keys.alias("y")
     a, b = (F.struct(F.col(f"{s}.doc_id").alias("doc_id"), F.col(f"{s}.line_no").alias("line_no")) for s in "xy")
-    near = F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= 2 * threshold
+    near = F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= F.col("x.role")
     # two segment rows meet twice, once from each side; a probe row meets a segment row once
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & near & (a != b) & ((F.col("y.role") == 1) | (a < b)))
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & near & (a != b) & ((F.col("y.role") % 2 == 1) | (a < b)))
     pairs = stored(met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "line-candidates")
     ends = pairs.select(F.col("a").alias("e")).union(pairs.select("b")).distinct().select("e.*")
     texts = _marked(lines, ends).join(ends, ["doc_id", "line_no"], "left_semi").select(
@@ -176,22 +203,23 @@ def line_links(lines: DataFrame, classes: DataFrame, threshold: int, least: int)
     swap = F.length("ta") > F.length("tb")
     both = both.select("a", "b", F.when(swap, F.col("tb")).otherwise(F.col("ta")).alias("ta"),
                        F.when(swap, F.col("ta")).otherwise(F.col("tb")).alias("tb"))
-    return _within(both, threshold).distinct()
+    return _within(both, rule).distinct()
 
 
-def line_classes(docs: DataFrame, threshold: int = 2, least: int = 24) -> DataFrame:
+def line_classes(docs: DataFrame, threshold: int = 2, least: int = 8, full: int = 12) -> DataFrame:
     """Class of every line with a word: (doc_id, line_no, class_doc_id, class_line_no, links, kept).
 
     Lines (edges trimmed) are one class when they are equal, or when a chain of lines within ``threshold`` edits of code
-    points joins them; lines under ``least`` code points only by equality, since a few edits make any short line of another.
+    points joins them. Since a few edits make any short line of another, the length of the shorter line counts: under
+    ``least`` code points lines are joined only by equality, under ``full`` by one edit (see :class:`Rule`).
     The class is named by its first line in order of (doc_id, line_no); only that line is kept. links counts the other
     distinct texts within the threshold.
 
     1. Equal lines are grouped by a 128-bit hash with a partial minimum: groups of copies of any size cost no pairs.
-    2. The first line of each group is cut into threshold + 1 segments; of two lines within the threshold one has a segment
+    2. The first line of each group is cut into one segment more than its edits; of two lines within the threshold one has a segment
        of the other near its place. Segments are joined with the substrings of lines that are as long or up to threshold
        longer (an equi-join that Spark can split for skew), filtered by the parity of their characters in the join.
-    3. Each pair met is verified once by a banded bit-parallel distance. No pair within the threshold is left out.
+    3. Each pair met is verified once by a banded bit-parallel distance. No pair within the edits allowed is left out.
 
     Null and empty texts and lines without a word have no rows; a null doc_id has none either. Rows that repeat a doc_id
     share their line numbers and fate: the row of a (doc_id, line_no) with two texts comes once per text. Other
@@ -201,7 +229,7 @@ def line_classes(docs: DataFrame, threshold: int = 2, least: int = 24) -> DataFr
     place = F.struct("doc_id", "line_no")
     classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("p")).select("h1", "h2", "p.*")
     classes = stored(classes, "line-classes")
-    links = stored(line_links(lines, classes, threshold, least), "line-links")
+    links = stored(line_links(lines, classes, Rule(threshold, least, full)), "line-links")
     named = components(links)
     degree = links.select(F.col("a").alias("e")).unionAll(links.select("b")).groupBy("e").agg(F.count("*").alias("links"))
     near = named.join(degree, F.col("node") == F.col("e")).select(
@@ -220,13 +248,13 @@ def _kept_text(drop: Column) -> Column:
         F.array_join(F.filter(lines, lambda line, k: ~F.array_contains(drop, k)), "\n"))
 
 
-def without_repeated_lines(docs: DataFrame, threshold: int = 2, least: int = 24) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, threshold: int = 2, least: int = 8, full: int = 12) -> DataFrame:
     """The documents with only the first line of each class (see :func:`line_classes`), all columns kept.
 
     A document that has lost every line with a word goes; one that had none (null, empty, blank) stays as it is, as does
     a row with a null doc_id. n_chars, where there is one, is counted anew.
     """
-    dropped = line_classes(docs, threshold, least).where("NOT kept").select("doc_id", "line_no").distinct()
+    dropped = line_classes(docs, threshold, least, full).where("NOT kept").select("doc_id", "line_no").distinct()
     dropped = dropped.groupBy("doc_id").agg(F.collect_list("line_no").alias("_drop")).withColumnRenamed("doc_id", "_id")
     joined = docs.join(dropped, F.col("doc_id") == F.col("_id"), "left").withColumn("text", _kept_text(F.col("_drop")))
     kept = joined.where(F.col("_drop").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))

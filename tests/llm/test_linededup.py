@@ -104,3 +104,35 @@ def test_repeated_rows_and_empty_table(docs_of):
     twice = docs_of([(1, "first line\nsecond line"), (1, "first line\nsecond line"), (2, "second line")])
     assert sorted(r.text for r in without_repeated_lines(twice).collect()) == ["first line\nsecond line"] * 2
     assert line_classes(docs_of([])).collect() == [] and without_repeated_lines(docs_of([])).collect() == []
+
+
+def test_short_lines_meet_by_edits_that_follow_their_length(docs_of):
+    rng = random.Random(6)
+    bases = ["".join(rng.choice("abcdé ") for _ in range(n)).strip() or "x" for n in range(5, 19) for _ in range(2)]
+    rows = [(i, "\n".join(edited(rng, rng.choice(bases), 2) for _ in range(4))) for i in range(60)]
+    rows += [(100, "Are, is anwh reenen."), (101, "Are. Is anwh reenen."), (102, "Éonchan ou le."), (103, "Éonchan | le."),
+             (104, "page one"), (105, "page ones"), (106, "page 1"), (107, "page 2")]
+    lines = sorted((i, k, x.strip()) for i, t in rows for k, x in enumerate(t.split("\n")) if x.strip())
+    first = {}
+    for i, k, x in lines:
+        first.setdefault(x, (i, k))
+    texts, links, root = list(first), collections.Counter(), {x: x for x in first}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, x in enumerate(texts):
+        for y in texts[:n]:
+            m = min(len(x), len(y))
+            if distance(x, y) <= (0 if m < 8 else 1 if m < 12 else 2):
+                links[x] += 1
+                links[y] += 1
+                p, q = sorted((find(x), find(y)), key=first.get)
+                root[q] = p
+    want = [(i, k, *first[find(x)], links[x], (i, k) == first[find(x)]) for i, k, x in lines]
+    got = sorted(tuple(r) for r in line_classes(docs_of(rows)).collect())
+    assert got == want
+    kept = {r[0]: r[5] for r in got if r[0] >= 100}
+    assert kept[100] and not kept[101] and not kept[103] and not kept[105] and kept[106] and kept[107]
