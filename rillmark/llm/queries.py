@@ -14,6 +14,7 @@ from rillmark.llm.jaccard import jaccard_components
 from rillmark.llm.langid import fit, identify
 from rillmark.llm.linededup import line_classes
 from rillmark.llm.mixing import MIX_SQL, mix
+from rillmark.llm.negatives import MINE_SQL, mine
 from rillmark.llm.neighbours import build, search
 from rillmark.llm.quality import quality
 from rillmark.llm.tokencount import count_tokens, unigram_vocabulary
@@ -108,4 +109,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_digests(spark, path)
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 100; labels of ids divisible by 7 are moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 ORACLES["op9_mix_sources"] = MIX_SQL
+ORACLES["op12_hard_negatives"] = MINE_SQL
