@@ -28,6 +28,17 @@ def fold(key: str, parts: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(parts)
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words(text: Column) -> Column:
     """Array of the words of a whole text; null and empty texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
