@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillmark.llm.alignment import align, link_counts, rated
 from rillmark.llm.bytebpe import decode, encode
 from rillmark.llm.common import fold, table
 from rillmark.llm.jaccard import jaccard_components
@@ -111,6 +112,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_digests(spark, path)
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenisations of every text, and how common its links are in the corpus."""
+    aligned = align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                    public_tokenizers.path("piece_bpe_32k.model"))
+    return rated(aligned, link_counts(aligned)).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every vector whose id is divisible by 100; labels of ids divisible by 7 are moved on by one."""
