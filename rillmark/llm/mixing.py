@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import WORD, stored
+from rillmark.llm.common import WORD, fresh_names, stored
 from rillmark.operators.scale import running_total
 
 STEPS = 1 << 15  # slices of virtual time up to the expected end of the mix
@@ -23,7 +23,8 @@ def _lot(seed: int) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, repeats: int) -> DataFrame:
-    """(source, source_size, weight, target) for every source; one row per source is all the two windows see.
+    """(source, source_size, weight, target) for every source; one row per source is all the windows see. ``end`` is the virtual
+    time at which the mix is expected to end.
 
     Sources by code point, null last, take the weights in turn. A target is weight * level, at most ``repeats`` times the
     source; the level is where the targets add up to ``share`` of all sizes (filled in order of cap / weight).
@@ -41,74 +42,92 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, rep
     open_ = F.when(F.col("cap") / F.col("weight") >= F.col("level"), F.struct(F.col("cap") / F.col("weight"), "level"))
     at = placed.withColumn("at", F.min(open_).over(Window.partitionBy())["level"])
     free = F.col("at").isNotNull() & (F.col("cap") / F.col("weight") > F.col("at"))
-    return at.select("source", "source_size", "weight", "budget", "at",
+    end = F.coalesce("at", F.max(F.col("cap") / F.col("weight")).over(Window.partitionBy()))
+    return at.select("source", "source_size", "weight", "budget", end.alias("end"),
                      F.when(free, F.col("weight") * F.col("at")).otherwise(F.col("cap").cast("double")).alias("target"))
 
 
-def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: int = 2,
-             seed: int = 9) -> DataFrame:
+def _place(seed: int) -> Column:
+    """What decides a row's place in its source's order: lot and size, and where ids repeat the text and the place in the table.
+
+    ``n`` only decides between rows that share doc_id, source and text, of which it does not matter which one is taken.
+    """
+    return F.struct(_lot(seed).alias("lot"), _size().alias("size"), F.xxhash64("text").alias("h"),
+                    F.monotonically_increasing_id().alias("n"))
+
+
+def _placed(docs: DataFrame, seed: int) -> DataFrame:
+    return stored(docs.select("doc_id", "source", _place(seed).alias("place")), "sizes")
+
+
+def mix_plan(placed: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: int = 2) -> DataFrame:
     """One row per source: its size, weight, target, and for each pass the last place in its order that the mix takes.
 
-    Every source offers its shuffled documents ``repeats`` times over. A document's virtual finish time is the source's
-    running total of words divided by its weight. All offers are sorted by finish time in range slices and cut where
-    their running total would pass the budget. Running totals go by (source, slice of the hash) and by slice of virtual
-    time, so a source with a third of all rows is spread; one partial sum per slice crosses them.
+    ``placed`` is a stored table of (source, place). Every source offers its shuffled documents ``repeats`` times over. A document's
+    virtual finish time is the source's running total of words divided by its weight. All offers are sorted by finish
+    time in range slices and cut where their running total would pass the budget. Running totals go by (source, slice of the hash)
+    and by slice of virtual time, so a source with a third of all rows is spread; one partial sum per slice crosses them. Slices
+    that begin beyond the budget, such as the one for all late offers, are dropped before they are sorted.
     """
-    sized = stored(docs.select("doc_id", "source", _size().alias("size"), _lot(seed).alias("lot")).where("size > 0"), "sizes")
-    total = docs.select("source").distinct().join(
-        sized.groupBy("source").agg(F.sum("size").alias("s")).withColumnRenamed("source", "_s"),
-        F.col("source").eqNullSafe(F.col("_s")), "left").select("source", F.coalesce("s", F.lit(0)).alias("source_size"))
+    sized = placed.select("source", "place.*")
+    total = sized.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"))
     targets = stored(source_targets(total, weights, share, repeats), "targets")
-    placed = sized.withColumn("slice", F.substring("lot", 1, 3)).withColumn("_null", F.col("source").isNull()).withColumn(
-        "source", F.coalesce("source", F.lit("")))
-    placed = running_total(placed, ["source", "_null"], "slice", ["lot", "size"], F.col("size"), "done", peers=True)
-    placed = placed.withColumn("source", F.when(~F.col("_null"), F.col("source")))
+    ranked = sized.where("size > 0").withColumn("slice", F.substring("lot", 1, 3)).withColumn("_null", F.col("source").isNull())
+    ranked = ranked.withColumn("source", F.coalesce("source", F.lit("")))
+    ranked = running_total(ranked, ["source", "_null"], "slice", ["lot", "size", "h", "n"], F.col("size"), "done")
+    ranked = ranked.withColumn("source", F.when(~F.col("_null"), F.col("source")))
     known = targets.withColumnRenamed("source", "_s")
-    offers = placed.join(known, F.col("source").eqNullSafe(F.col("_s"))).withColumn(
+    offers = ranked.join(known, F.col("source").eqNullSafe(F.col("_s"))).withColumn(
         "pass", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).select(
-        "source", "lot", "size", "pass", "budget", "at",
+        "source", "lot", "size", "h", "n", "pass", "budget", "end",
         ((F.col("done") + F.col("pass") * F.col("source_size")) / F.col("weight")).alias("finish"))
-    when = F.floor(F.least(F.try_divide("finish", "at"), F.lit(2.0)) * STEPS)
-    offers = offers.withColumn("when", F.coalesce(when, F.lit(2 * STEPS)))
-    queue = running_total(offers, [], "when", ["finish", F.col("source").asc_nulls_last(), "pass", "lot", "size"],
-                          F.col("size"), "total")
+    when = F.floor(F.least(F.try_divide("finish", "end"), F.lit(2.0)) * STEPS)
+    offers = stored(offers.withColumn("when", F.coalesce(when, F.lit(2 * STEPS))).drop("end"), "offers")
+    slices = offers.groupBy("when").agg(F.sum("size").alias("s"), F.max("budget").alias("budget"))
+    base = F.coalesce(F.sum("s").over(Window.orderBy("when").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    reached = slices.withColumn("base", base).where(F.col("base") <= F.col("budget")).groupBy().agg(F.max("when")).scalar()
+    queue = running_total(offers.where(F.col("when") <= reached), [], "when",
+                          ["finish", F.col("source").asc_nulls_last(), "pass", "lot", "size", "h", "n"], F.col("size"), "total")
     taken = queue.where(F.col("total") <= F.col("budget")).groupBy("source", "pass").agg(
-        F.max(F.struct("lot", "size")).alias("last"))
+        F.max(F.struct("lot", "size", "h", "n")).alias("last"))
     last = taken.groupBy("source").pivot("pass", list(range(repeats))).agg(F.first("last"))
     ends = F.array(*[F.col(str(k)) for k in range(repeats)])
     last = last.select(F.col("source").alias("_s"), ends.alias("ends"))
-    return stored(targets.join(last, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "budget", "at"), "mix-plan")
+    return stored(targets.join(last, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "budget", "end"), "mix-plan")
 
 
-def _taken(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    plan = plan.select(F.struct("source", "source_size", "target", "ends").alias("_plan"))
-    joined = docs.withColumn("_size", _size()).withColumn("_lot", _lot(seed)).join(
-        plan, docs["source"].eqNullSafe(F.col("_plan.source")))
-    own = F.struct(F.col("_lot").alias("lot"), F.col("_size").alias("size"))
-    times = F.size(F.filter(F.coalesce("_plan.ends", F.array()), lambda e: e.isNotNull() & (own <= e)))
-    return joined.withColumn("_times", F.when(F.col("_size") > 0, times).otherwise(0))
+def _times(place: Column, ends: Column) -> Column:
+    """How often the mix takes a row."""
+    times = F.size(F.filter(F.coalesce(ends, F.array()), lambda e: e.isNotNull() & (place <= e)))
+    return F.when(place["size"] > 0, times).otherwise(0)
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: int = 2, seed: int = 9) -> DataFrame:
     """What the mix takes of every document: doc_id, size, source_size, target, taken (words, repeats counted).
 
-    Rows with equal (doc_id, size) of one source are taken alike. Empty and null texts have size 0 and are never taken; a null
-    source is a source; other columns are ignored. Empty input gives an empty table.
+    Rows that share a doc_id are rows of their own, in order of a hash of their texts; of rows that also share the text as many are
+    taken as the mix has room for. Empty and null texts have size 0 and are never taken; a null source is a source; other
+    columns are ignored. Empty input gives an empty table.
     """
-    docs = docs.select("doc_id", "text", "source")
-    return _taken(docs, mix_plan(docs, weights, share, repeats, seed), seed).select(
-        "doc_id", F.col("_size").alias("size"), F.col("_plan.source_size").alias("source_size"),
-        F.col("_plan.target").alias("target"), (F.col("_size") * F.col("_times")).cast("bigint").alias("taken"))
+    placed = _placed(docs, seed)
+    plan = mix_plan(placed, weights, share, repeats).withColumnRenamed("source", "_s")
+    joined = placed.join(plan, F.col("source").eqNullSafe(F.col("_s")))
+    size = F.col("place.size")
+    return joined.select("doc_id", size.alias("size"), "source_size", "target",
+                         (size * _times(F.col("place"), F.col("ends"))).cast("bigint").alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: int = 2, seed: int = 9) -> DataFrame:
-    """The documents of the mix with all their columns, a document once for every time it is taken.
+    """The documents of the mix with all their columns, whatever their names, a row once for every time it is taken (see :func:`mix`).
 
     The plan (one row per source) is joined to the documents, so their texts are not shuffled for it.
     """
-    rows = _taken(docs, mix_plan(docs, weights, share, repeats, seed), seed)
-    again = F.explode(F.sequence(F.lit(1), F.col("_times")))
-    return rows.where("_times > 0").withColumn("_again", again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    place, name, ends, again = fresh_names(docs, "place", "named", "ends", "again")
+    plan = mix_plan(_placed(docs, seed), weights, share, repeats).select(F.col("source").alias(name), F.col("ends").alias(ends))
+    rows = docs.withColumn(place, _place(seed)).join(plan, F.col("source").eqNullSafe(F.col(name)))
+    times = _times(F.col(place), F.col(ends))
+    return rows.where(times > 0).withColumn(again, F.explode(F.sequence(F.lit(1), times))).select(*columns)
 
 
 MIX_SQL = r"""
