@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from rillmark.functions.columns import cosine
 from rillmark.operators.features import impute
 from rillmark.operators.scale import dense_index
+from rillmark.operators.topn import top_items
 from rillmark.session import checkpointed, scratch_dir
 
 # Feature columns of the ranker. Fixed values of the contract, with the suffixes of the joined training row.
@@ -74,12 +75,9 @@ def named_factors(model: ALSModel, indexed: DataFrame) -> tuple[DataFrame, DataF
 
 
 def als_candidates(model: ALSModel, indexed: DataFrame, n: int = 100) -> DataFrame:
-    """The ``n`` best items of every user: user_id, item_id, rank, score."""
-    top = model.recommendForAllUsers(n).select("user_index", F.posexplode("recommendations").alias("pos", "r")).select(
-        "user_index", F.col("r.item_index").alias("item_index"), F.col("r.rating").cast("double").alias("score"),
-        (F.col("pos") + 1).alias("rank"))
-    return top.join(ids_of(indexed, "user"), "user_index").join(ids_of(indexed, "item"), "item_index").select(
-        "user_id", "item_id", "rank", "score")
+    """The ``n`` best items of every user: user_id, item_id, rank, score. Exact, and not by all pairs (see ``topn``)."""
+    users, items = named_factors(model, indexed)
+    return top_items(users, items, n).rows
 
 
 def train_ranker(
@@ -155,23 +153,27 @@ def fold_in_rhs(interactions: DataFrame, factors: DataFrame) -> DataFrame:
         "user_id", vector_to_array("_b").alias("rhs"))
 
 
-def gram_inverse(factors: DataFrame, reg: float = 0.1) -> np.ndarray:
-    """(YtY + reg I)^-1. Its k x k cells, k being the rank of the factors, are all that reaches the driver."""
+def gram_inverse(factors: DataFrame, reg: float = 0.1, rank: int = 0) -> np.ndarray:
+    """(YtY + reg I)^-1. Its k x k cells, k being the rank of the factors, are all that reaches the driver.
+
+    ``rank`` is the k of a table without factors.
+    """
     cells = gram_matrix(factors).collect()
-    k = 1 + max(c["i"] for c in cells)
+    k = max((1 + c["i"] for c in cells), default=rank)
     gram = np.zeros((k, k))
     for c in cells:
         gram[c["i"], c["j"]] = c["value"]
     return np.linalg.inv(gram + reg * np.eye(k))
 
 
-def fold_in(interactions: DataFrame, factors: DataFrame, reg: float = 0.1, inverse: np.ndarray | None = None) -> DataFrame:
+def fold_in(interactions: DataFrame, factors: DataFrame, reg: float = 0.1, inverse: np.ndarray | None = None,
+            rank: int = 0) -> DataFrame:
     """New user factors with item factors held fixed: (YtY + reg I)^-1 Yt r per user.
 
     ``inverse`` may be passed in where many batches meet the same item factors. Users without a known item get a
-    zero vector.
+    zero vector, of length ``rank`` if there are no factors at all.
     """
-    inverse = gram_inverse(factors, reg) if inverse is None else inverse
+    inverse = gram_inverse(factors, reg, rank) if inverse is None else inverse
 
     @F.pandas_udf("array<double>")
     def solve(rhs: pd.Series) -> pd.Series:

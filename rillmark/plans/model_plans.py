@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from rillmark.operators import features as ft
 from rillmark.operators import models as ml
 from rillmark.operators import recommend as rc
+from rillmark.operators import rerank as rr
 from rillmark.operators import training as tr
 from rillmark.operators import windows as wn
+from rillmark.operators.topn import top_items
 from rillmark.plans.event_plans import valid_events
 from rillmark.plans.registry import query, with_views
 from rillmark.plans.training_plans import feature_tables
@@ -36,6 +38,45 @@ def als_candidates(spark, root):
         "user_id", "item_id", "rank", F.round("score", 4).alias("score"))
 
 
+# Vectors of uneven length: items are the embeddings, stretched by up to a factor of seven, users every fifth embedding.
+@query("top_products", """
+    WITH f AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS y FROM embeddings),
+    s AS (SELECT 'user_' || u.vec_id AS user_id, 'item_' || i.vec_id AS item_id, sum(u.y * (i.y * (1 + i.vec_id % 7))) AS score
+          FROM f u JOIN f i ON u.i = i.i WHERE u.vec_id % 5 = 0 GROUP BY 1, 2)
+    SELECT user_id, item_id, round(score, 6) AS score,
+           CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM s
+    QUALIFY rank <= 20""")
+def top_products(spark, root):
+    base = table(spark, root, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    users = base.where("vec_id % 5 = 0").select(
+        F.concat(F.lit("user_"), F.col("vec_id").cast("string")).alias("user_id"), F.col("v").alias("features"))
+    items = base.select(F.concat(F.lit("item_"), F.col("vec_id").cast("string")).alias("item_id"),
+                        F.transform("v", lambda x: x * (1 + F.col("vec_id") % 7)).alias("features"))
+    return top_items(users, items, 20, size=64).rows.withColumn("score", F.round("score", 6))
+
+
+# The factors differ from one library to another, so SQL states what must hold of any: every user has the 100 best of the
+# catalogue with ranks 1..n, each score is the inner product of the two factors, and the last one is no lower than the last of the
+# library's own product of all pairs.
+@query("als_candidates_audit", with_views("ev", """
+    SELECT DISTINCT user_id, least(100, (SELECT count(DISTINCT item_id) FROM ev)) AS candidates, true AS ranked, true AS exact,
+           true AS best FROM ev"""))
+def als_candidates_audit(spark, root):
+    indexed = checkpointed(ml.index_pairs(pair_counts(spark, root)), "indexed")
+    model = ml.train_als(indexed)
+    users, items = (checkpointed(f, "factors") for f in ml.named_factors(model, indexed))
+    top = top_items(users, items, 100).rows.withColumnRenamed("score", "given")
+    per = rr.dot_scores(top, users, items).groupBy("user_id").agg(
+        F.count_distinct("item_id").alias("candidates"),
+        ((F.count_distinct("rank") == F.count("*")) & (F.max("rank") == F.count("*"))).alias("ranked"),
+        (F.max(F.abs(F.col("given") - F.col("score"))) < 1e-6).alias("exact"), F.min("given").alias("least"))
+    library = model.recommendForAllUsers(100).select(
+        "user_index", F.array_min("recommendations.rating").cast("double").alias("theirs")).join(
+        ml.ids_of(indexed, "user"), "user_index")
+    return per.join(library.select("user_id", "theirs"), "user_id").select(
+        "user_id", "candidates", "ranked", "exact", (F.col("least") > F.col("theirs") - 1e-5).alias("best"))
+
+
 def trained_ranker(pairs, users, items):
     return ml.train_ranker(checkpointed(tr.build_training_set(pairs, users, items), "training"))
 

@@ -207,14 +207,15 @@ def fresh_recs(spark, root):
     WITH u AS (SELECT user_id, arg_max(CASE WHEN status = 'active' AND grp = 'treatment' THEN treatment_version
                  ELSE control_version END, (ts, request_id)) AS model_version,
                arg_max(CASE WHEN status = 'active' AND grp = 'treatment' THEN 'treatment' ELSE 'control' END,
-                 (ts, request_id)) AS served_group FROM asg GROUP BY 1),
+                 (ts, request_id)) AS served_group FROM asg WHERE status IS NOT NULL GROUP BY 1),
     r AS (SELECT 'v1' AS model_version, * FROM scored UNION ALL SELECT 'v4', * FROM damp),
     t AS (SELECT *, row_number() OVER (PARTITION BY model_version, user_id ORDER BY score DESC, item_id) AS rank FROM r
           QUALIFY rank <= 5)
     SELECT t.user_id, t.model_version, served_group, item_id, round(score, 6) AS score, rank
     FROM t JOIN u ON t.user_id = u.user_id AND t.model_version = u.model_version"""))
 def routed_recs(spark, root):
-    routed = route_versions(assigned(spark, root)).groupBy("user_id").agg(
+    # a request for an unknown experiment is served nothing: the user's last request that is served counts
+    routed = route_versions(assigned(spark, root)).where("status <> 'unknown'").groupBy("user_id").agg(
         F.max(F.struct("timestamp", "request_id", "model_version", "served_group")).alias("l")
     ).select("user_id", "l.model_version", "l.served_group")
     pairs = scored_with_popularity(spark, root)
