@@ -9,6 +9,7 @@ from rillmark.session import scratch_dir
 from rillmark.sources import adapters
 from rillmark.sources.store import is_directory
 from rillmark.streaming import flows, sinks
+from rillmark.streaming.activity import activity_stream, state_session, stream_session
 
 
 class _StreamReads:
@@ -35,27 +36,16 @@ def valid_stream(spark, root):
     return validate_events(event_stream(spark, root))[0]
 
 
-def _finish(start, spark, name, **kwargs):
-    """Run a finite stream to its end and return the folder of its result.
-
-    A stream keeps one state store per shuffle partition and opens all of them in every micro-batch, so there are no more of
-    them than two per core of this session.
-    """
+def _finish(start, spark, name, build, session=stream_session, **kwargs):
+    """Run a finite stream, built in a session of its own, to its end and return the folder of its result."""
     path, checkpoint = scratch_dir(spark, name), scratch_dir(spark, f"{name}-checkpoint")
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
-    try:
-        start(path=path, checkpoint=checkpoint, once=True, **kwargs).awaitTermination()
-    finally:
-        spark.conf.set(setting, before)
+    start(build(session(spark)), path, checkpoint, once=True, **kwargs).awaitTermination()
     return path
 
 
 @query("stream_hourly_pairs", ORACLES["hourly_pair_features"])
 def stream_hourly_pairs(spark, root):
-    df = flows.hourly_pair_stream(valid_stream(spark, root))
-    path = _finish(sinks.start_feature_query, spark, "hourly", df=df)
+    path = _finish(sinks.start_feature_query, spark, "hourly", lambda s: flows.hourly_pair_stream(valid_stream(s, root)))
     return sinks.read_latest(spark, path, ["user_id", "item_id", "window_start"]).select(
         "user_id", "item_id", "interaction_count_1h", "last_event_time", F.round("avg_rating", 6).alias("avg_rating"),
         "window_start", "window_end")
@@ -63,15 +53,14 @@ def stream_hourly_pairs(spark, root):
 
 @query("stream_user_sliding_24h", ORACLES["user_sliding_24h"])
 def stream_user_sliding_24h(spark, root):
-    df = flows.sliding_user_stream(valid_stream(spark, root))
-    path = _finish(sinks.start_feature_query, spark, "sliding", df=df)
+    path = _finish(sinks.start_feature_query, spark, "sliding", lambda s: flows.sliding_user_stream(valid_stream(s, root)))
     return sinks.read_latest(spark, path, ["user_id", "window_start"]).withColumn(
         "avg_rating", F.round("avg_rating", 6))
 
 
 @query("stream_item_hourly", ORACLES["item_hourly"])
 def stream_item_hourly(spark, root):
-    path = _finish(sinks.start_feature_query, spark, "item-hourly", df=flows.item_hourly_stream(valid_stream(spark, root)))
+    path = _finish(sinks.start_feature_query, spark, "item-hourly", lambda s: flows.item_hourly_stream(valid_stream(s, root)))
     return sinks.read_latest(spark, path, ["item_id", "window_start"])
 
 
@@ -81,7 +70,7 @@ def stream_item_hourly(spark, root):
            max(ts) AS last_active_timestamp FROM ev GROUP BY 1"""))
 def stream_user_state(spark, root):
     path = _finish(sinks.start_feature_query, spark, "user-state",
-                   df=flows.running_state_stream(valid_stream(spark, root), "user_id"))
+                   lambda s: flows.running_state_stream(valid_stream(s, root), "user_id"))
     df = sinks.read_latest(spark, path, ["user_id"])
     mean = F.round(F.col("rating_sum") / F.nullif(F.col("rating_n"), F.lit(0)), 6)
     return df.select("user_id", "interaction_count", mean.alias("running_avg_rating"), "views", "clicks",
@@ -92,9 +81,12 @@ def stream_user_state(spark, root):
 @query("stream_dedup", with_views("raw", """
     SELECT event_id, user_id, item_id, event_type FROM raw"""))
 def stream_dedup(spark, root):
-    first = event_stream(spark, root)
-    again = event_stream(spark, root).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 5 MINUTES"))
-    path = _finish(sinks.start_feature_query, spark, "dedup", df=flows.dedup_stream(first.unionByName(again)), mode="append")
+    def twice(session):
+        first = event_stream(session, root)
+        again = event_stream(session, root).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 5 MINUTES"))
+        return flows.dedup_stream(first.unionByName(again))
+
+    path = _finish(sinks.start_feature_query, spark, "dedup", twice, mode="append")
     return spark.read.parquet(path).select("event_id", "user_id", "item_id", "event_type")
 
 
@@ -102,7 +94,7 @@ def stream_dedup(spark, root):
     SELECT event_id, user_id, event_type, event_type IN ('view', 'click', 'rating') AS valid,
            CASE WHEN event_type IN ('view', 'click', 'rating') THEN '' ELSE 'event_type_unknown' END AS reasons FROM raw"""))
 def stream_dead_letters(spark, root):
-    path = _finish(sinks.start_ingest, spark, "ingest", df=flows.checked_stream(event_stream(spark, root)))
+    path = _finish(sinks.start_ingest, spark, "ingest", lambda s: flows.checked_stream(event_stream(s, root)))
     return spark.read.parquet(path).select(
         "event_id", "user_id", "event_type", F.col("valid").cast("boolean").alias("valid"), F.array_join("reasons", ",").alias("reasons"))
 
@@ -116,10 +108,27 @@ def stream_dead_letters(spark, root):
     FROM s JOIN ev c ON c.event_type = 'click' AND c.user_id = s.user_id AND c.item_id = s.item_id
          AND c.ts >= s.ts AND c.ts <= s.ts + INTERVAL 24 HOURS"""))
 def stream_served_clicks(spark, root):
-    served = served_records(_StreamReads(spark), root).select(
-        "event_id", "user_id", F.explode("recommended_items").alias("item_id"),
-        F.try_to_timestamp("timestamp").alias("timestamp"))
-    clicks = valid_stream(spark, root).where("event_type = 'click'")
-    path = _finish(sinks.start_feature_query, spark, "served-clicks", df=flows.served_clicks_stream(served, clicks),
-                   mode="append")
+    def both(session):
+        served = served_records(_StreamReads(session), root).select(
+            "event_id", "user_id", F.explode("recommended_items").alias("item_id"),
+            F.try_to_timestamp("timestamp").alias("timestamp"))
+        return flows.served_clicks_stream(served, valid_stream(session, root).where("event_type = 'click'"))
+
+    path = _finish(sinks.start_feature_query, spark, "served-clicks", both, mode="append")
     return spark.read.parquet(path).select("event_id", "user_id", "item_id", "clicked_at")
+
+
+# Spells of activity: a gap of more than a day between two events of a user ends one; the watermark stands ten minutes behind.
+@query("stream_user_activity", with_views("ev", """
+    WITH g AS (SELECT *, CASE WHEN ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 24 HOURS THEN 1 ELSE 0 END AS cut FROM ev),
+    s AS (SELECT *, sum(cut) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+    SELECT user_id, min(ts) AS spell_start, count(*) AS event_count, round(avg(rating), 6) AS avg_rating,
+           count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'click') AS clicks,
+           max(ts) AS last_active_timestamp,
+           max(ts) + INTERVAL 24 HOURS < (SELECT max(ts) FROM ev) - INTERVAL 10 MINUTES AS inactive
+    FROM s GROUP BY user_id, k"""))
+def stream_user_activity(spark, root):
+    path = _finish(sinks.start_feature_query, spark, "user-activity", lambda s: activity_stream(valid_stream(s, root)), state_session)
+    mean = F.round(F.col("rating_sum") / F.nullif(F.col("rating_n"), F.lit(0)), 6)
+    return sinks.read_latest(spark, path, ["user_id", "spell_start"]).select(
+        "user_id", "spell_start", "event_count", mean.alias("avg_rating"), "views", "clicks", "last_active_timestamp", "inactive")
