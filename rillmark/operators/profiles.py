@@ -7,12 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillmark.session import checkpointed
 
-def new_profiles(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Incoming profiles whose user name and e-mail are both free: two anti joins, no OR condition."""
-    for c in ("username", "email"):
+def new_profiles(incoming: DataFrame, existing: DataFrame, order: Sequence[str] = (), keys: Sequence[str] = ("username", "email"),
+                 ) -> DataFrame:
+    """Incoming profiles that get all of their ``keys``, first come, first served: the same rows as taking requests one by one.
+
+    A request is refused if an existing profile or an accepted earlier request holds one of its keys; a refused request takes nothing.
+    Earlier means smaller in ``order``, then in the other columns; of equal requests one is taken. A null key is always free.
+
+    What exists already goes by anti joins. Then rounds: a request that is the first of all open ones for each of its keys is
+    accepted, since no earlier one can take them; its rivals go, and so on until none is open. A round is one minimum per key
+    with partial aggregation, a join of the minima, and anti joins, so a name that a third of all requests want is one row per task.
+    """
+    columns = incoming.columns
+    names = [*order, *[c for c in columns if c not in order]]
+    for c in keys:
         incoming = incoming.join(existing.select(c).where(F.col(c).isNotNull()), c, "left_anti")
-    return incoming
+    open_ = checkpointed(incoming.select(*keys, F.struct(*names).alias("_r")), "requests")
+    accepted = None
+    while open_.limit(1).count():
+        first = None
+        for c in keys:
+            least = open_.where(F.col(c).isNotNull()).groupBy(c).agg(F.min("_r").alias("_r")).select("_r")
+            least = least.unionAll(open_.where(F.col(c).isNull()).select("_r")).distinct()
+            first = least if first is None else first.join(least, "_r")
+        won = checkpointed(first.select("_r", *[F.col(f"_r.{c}").alias(c) for c in keys]), "accepted")
+        accepted = won if accepted is None else accepted.unionAll(won)
+        for c in keys:
+            open_ = open_.join(won.select(c).where(F.col(c).isNotNull()), c, "left_anti")
+        open_ = open_.join(won.select("_r"), "_r", "left_anti")  # one whose keys are null is no rival of itself
+        open_ = checkpointed(open_.select(*keys, "_r"), "requests")
+    rows = open_.select("_r") if accepted is None else accepted.select("_r")
+    return rows.select(*[F.col(f"_r.{c}").alias(c) for c in columns])
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -214,6 +214,33 @@ def new_profiles(spark, root):
     return pr.new_profiles(incoming, existing).select("username", "email", "c_custkey")
 
 
+# Sign-ups that clash with each other: names repeat every 401 customers, addresses every 457, and suppliers hold some already. SQL
+# takes the requests one by one in order of balance.
+@query("first_come_profiles", """
+    WITH RECURSIVE r AS (
+      SELECT c_custkey AS id, 'name_' || (c_custkey % 401) AS username, 'mail_' || (c_custkey * 31 % 457) AS email,
+             row_number() OVER (ORDER BY c_acctbal, c_custkey) AS n FROM customer),
+    x AS (SELECT 'name_' || (s_suppkey * 3) AS username, 'mail_' || (s_suppkey * 5) AS email FROM supplier),
+    fold AS (
+      SELECT CAST(0 AS BIGINT) AS n, (SELECT list(username) FROM x) AS names, (SELECT list(email) FROM x) AS mails, false AS ok
+      UNION ALL
+      SELECT n, CASE WHEN ok THEN list_append(names, username) ELSE names END,
+             CASE WHEN ok THEN list_append(mails, email) ELSE mails END, ok
+      FROM (SELECT r.n, names, mails, username, email, NOT list_contains(names, username) AND NOT list_contains(mails, email) AS ok
+            FROM fold JOIN r ON r.n = fold.n + 1))
+    SELECT username, email, id FROM fold JOIN r USING (n) WHERE ok""")
+def first_come_profiles(spark, root):
+    k = F.col("c_custkey")
+    incoming = table(spark, root, "customer").select(
+        "c_acctbal", k.alias("id"), F.concat(F.lit("name_"), (k % 401).cast("string")).alias("username"),
+        F.concat(F.lit("mail_"), (k * 31 % 457).cast("string")).alias("email"))
+    s = F.col("s_suppkey")
+    existing = table(spark, root, "supplier").select(
+        F.concat(F.lit("name_"), (s * 3).cast("string")).alias("username"),
+        F.concat(F.lit("mail_"), (s * 5).cast("string")).alias("email"))
+    return pr.new_profiles(incoming, existing, ["c_acctbal", "id"]).select("username", "email", "id")
+
+
 # Each order sets its customer's segment (finished orders) or balance (open orders).
 @query("upsert_dimension", """
     WITH u AS (SELECT o_custkey AS k, o_orderdate AS d, o_orderkey AS o,
