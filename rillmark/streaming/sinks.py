@@ -14,6 +14,7 @@ from rillmark.functions.columns import safe_ratio
 from rillmark.operators import features as ft
 from rillmark.operators import models as ml
 from rillmark.operators.monitor import RetrainRule, advance_retrain_state
+from rillmark.sources.snapshots import read_batches
 from rillmark.sources.store import write_features
 
 EVERY = "30 seconds"
@@ -43,10 +44,26 @@ def start_feature_query(
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current rows of an update-mode table: the newest batch of every key."""
-    w = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
-    rows = spark.read.parquet(path).withColumn("_rn", F.row_number().over(w))
-    return rows.where(F.col("_rn") == 1).drop("_rn", "batch_id")
+    """Current rows of an update-mode table: the newest batch of every key, from the last snapshot on."""
+    return read_batches(spark, path, newest_rows(keys))
+
+
+def newest_rows(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """How an update-mode table is merged: the row of the newest batch of every key."""
+    def merge(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
+        return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return merge
+
+
+def summed_state(key: str) -> Callable[[DataFrame], DataFrame]:
+    """How a table of state deltas is merged: sums and the latest time per key."""
+    sums = ("interaction_count", "rating_sum", "rating_n", "views", "clicks")
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums],
+                                     F.max("last_active_timestamp").alias("last_active_timestamp"))
+    return merge
 
 
 def start_ingest(df: DataFrame, path: str, checkpoint: str, every: str = EVERY, once: bool = False) -> StreamingQuery:
@@ -111,9 +128,7 @@ def start_online_learning(df: DataFrame, handler: Callable[[DataFrame, int], Non
 
 
 def current_state(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """State per key summed over the stored batch deltas; compacting the deltas is the same aggregation, written back."""
-    sums = ("interaction_count", "rating_sum", "rating_n", "views", "clicks")
-    total = spark.read.parquet(path).groupBy(key).agg(
-        *[F.sum(c).alias(c) for c in sums], F.max("last_active_timestamp").alias("last_active_timestamp"))
+    """State per key summed over the last snapshot and the newer batch deltas (``snapshots.compact`` with :func:`summed_state`)."""
+    total = read_batches(spark, path, summed_state(key))
     return total.withColumn("running_avg_rating", F.col("rating_sum") / F.nullif(F.col("rating_n"), F.lit(0))).withColumn(
         "click_through_rate", safe_ratio("clicks", "views"))
