@@ -184,28 +184,39 @@ def daily_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def event_report(valid: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Totals, distinct users and items, and the share of each kind of event, as (metric, value) rows."""
-    kinds = valid.groupBy("event_type").agg(F.count("*").alias("n"))
-    bad = rejected.groupBy().agg(F.count("*").alias("n"))
-    good = kinds.groupBy().agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    both = good.unionByName(bad).groupBy().agg(F.sum("n").alias("n"))
-
-    def row(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.lit(name).alias("metric"), F.col("n").cast("double").alias("value"))
-
-    def distinct(name: str) -> DataFrame:
-        return valid.select(name).distinct().groupBy().agg(F.count("*").alias("n"))
-
-    share = kinds.select(
-        F.concat(F.lit("share_"), "event_type").alias("metric"),
-        (F.col("n") * F.lit(100.0) / both.scalar()).alias("value"),
-    )
-    count = kinds.select(F.concat(F.lit("count_"), "event_type").alias("metric"), F.col("n").cast("double").alias("value"))
-    out = row(both, "received").unionByName(row(good, "valid")).unionByName(row(bad, "invalid"))
-    for name in ("user_id", "item_id"):
-        out = out.unionByName(row(distinct(name), f"unique_{name}"))
-    return out.unionByName(count).unionByName(share)
+def event_report(checked: DataFrame) -> DataFrame:
+    """Totals, distinct users and items, and the share of each kind of event, as (metric, value) rows.
+
+    ``checked`` has events with a column ``valid``. It is read once: every event gives a row for its user, item, type and verdict,
+    which are counted together. The mergeable form with estimated distinct counts is in ``sketches``.
+    """
+    ok = F.col("valid")
+
+    def seen(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+
+    each = F.array(seen("verdict", ok), *[F.when(ok, seen(c, F.col(c))) for c in ("user_id", "item_id", "event_type")])
+    counts = checked.select(F.explode(F.array_compact(each)).alias("s")).groupBy("s.kind", "s.value").agg(F.count("*").alias("n"))
+
+    def total(when: Column) -> Column:
+        return F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0)).cast("double")
+
+    kind = F.col("kind")
+    types = F.collect_list(F.when(kind == "event_type", F.struct("value", "n")))  # one entry per valid type
+    one = counts.groupBy().agg(
+        total(kind == "verdict").alias("received"), total((kind == "verdict") & (F.col("value") == "true")).alias("valid"),
+        total((kind == "verdict") & (F.col("value") == "false")).alias("invalid"),
+        *[F.count_if((kind == c) & F.col("value").isNotNull()).cast("double").alias(f"unique_{c}") for c in ("user_id", "item_id")],
+        types.alias("types"))
+
+    def row(name: Column, value: Column) -> Column:
+        return F.struct(name.alias("metric"), value.cast("double").alias("value"))
+
+    fixed = F.array(*[row(F.lit(c), F.col(c)) for c in ("received", "valid", "invalid", "unique_user_id", "unique_item_id")])
+    by_type = F.flatten(F.transform("types", lambda t: F.array(
+        row(F.concat(F.lit("count_"), t["value"]), t["n"]),
+        row(F.concat(F.lit("share_"), t["value"]), t["n"] * F.lit(100.0) / F.col("received")))))
+    return one.select(F.inline(F.concat(fixed, by_type)))
 
 
 def entity_state(df: DataFrame, key: str, rating_default: float | None = None) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from rillmark.operators import events as ev
 from rillmark.operators import features as ft
+from rillmark.operators import sketches as sk
 from rillmark.plans.event_plans import AS_OF, order_interactions, valid_events
 from rillmark.plans.registry import query, with_views
 from rillmark.sources.adapters import raw_events
+from rillmark.streaming.flows import checked_stream
 
 
 def _r(*names):
@@ -182,8 +183,28 @@ def daily_summary(spark, root):
     UNION ALL SELECT 'count_' || event_type, c FROM k
     UNION ALL SELECT 'share_' || event_type, round(c * 100.0 / r, 6) FROM k, n"""))
 def event_report(spark, root):
-    valid, rejected = ev.validate_events(raw_events(spark, root))
-    return ft.event_report(valid, rejected).select("metric", *_r("value"))
+    return ft.event_report(checked_stream(raw_events(spark, root))).select("metric", *_r("value"))
+
+
+# The report of every day from parts that merge: one part per day and type of day's half, as batches would bring them.
+@query("daily_event_report", with_views("ev", """
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS received,
+           count(*) FILTER (event_type IN ('view', 'click', 'rating')) AS valid,
+           count(*) FILTER (event_type NOT IN ('view', 'click', 'rating')) AS invalid,
+           count(*) FILTER (event_type = 'view') AS "view", count(*) FILTER (event_type = 'click') AS click,
+           count(*) FILTER (event_type = 'rating') AS rating,
+           count(DISTINCT CASE WHEN event_type IN ('view', 'click', 'rating') THEN user_id END) AS unique_users,
+           count(DISTINCT CASE WHEN event_type IN ('view', 'click', 'rating') THEN item_id END) AS unique_items,
+           round(100.0 * count(*) FILTER (event_type = 'view') / count(*), 6) AS share_view,
+           round(100.0 * count(*) FILTER (event_type = 'click') / count(*), 6) AS share_click,
+           round(100.0 * count(*) FILTER (event_type = 'rating') / count(*), 6) AS share_rating
+    FROM raw GROUP BY 1"""))
+def daily_event_report(spark, root):
+    rows = checked_stream(raw_events(spark, root)).withColumns({
+        "day": F.to_date("timestamp").cast("string"), "half": F.hour("timestamp") < 12})
+    parts = sk.report_parts(rows, ["day", "half"])
+    out = sk.report_of(parts, ["day"])
+    return out.select(*[F.round(c, 6).alias(c) if c.startswith("share") else F.col(c) for c in out.columns])
 
 
 def _state_sql(key):

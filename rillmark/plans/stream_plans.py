@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from rillmark.operators import sketches as sk
 from rillmark.operators.events import validate_events
 from rillmark.plans.event_plans import served_records
 from rillmark.plans.registry import ORACLES, query, with_views
 from rillmark.session import scratch_dir
 from rillmark.sources import adapters
+from rillmark.sources.snapshots import read_batches
 from rillmark.sources.store import is_directory
 from rillmark.streaming import flows, sinks
 from rillmark.streaming.activity import activity_stream, state_session, stream_session
@@ -132,3 +134,10 @@ def stream_user_activity(spark, root):
     mean = F.round(F.col("rating_sum") / F.nullif(F.col("rating_n"), F.lit(0)), 6)
     return sinks.read_latest(spark, path, ["user_id", "spell_start"]).select(
         "user_id", "spell_start", "event_count", mean.alias("avg_rating"), "views", "clicks", "last_active_timestamp", "inactive")
+
+
+@query("stream_event_report", ORACLES["daily_event_report"])
+def stream_event_report(spark, root):
+    path = _finish(sinks.start_report, spark, "report", lambda s: flows.checked_stream(event_stream(s, root)))
+    out = sk.report_of(read_batches(spark, path, sinks.merged_report), ["day"])
+    return out.select(*[F.round(c, 6).alias(c) if c.startswith("share") else F.col(c) for c in out.columns])

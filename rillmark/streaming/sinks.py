@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rillmark.functions.columns import safe_ratio
 from rillmark.operators import features as ft
 from rillmark.operators import models as ml
+from rillmark.operators import sketches as sk
 from rillmark.operators.monitor import RetrainRule, advance_retrain_state
 from rillmark.sources.snapshots import read_batches
 from rillmark.sources.store import write_features
@@ -71,6 +72,19 @@ def start_ingest(df: DataFrame, path: str, checkpoint: str, every: str = EVERY,
     return _start(df, batch_writer(path, ["valid"]), checkpoint, "append", every, once)
 
 
+def start_report(df: DataFrame, path: str, checkpoint: str, every: str = EVERY, once: bool = False) -> StreamingQuery:
+    """Store the report parts of every micro-batch of checked events by day; ``sketches.report_of`` puts them together on read."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parts = sk.report_parts(batch.withColumn("day", F.to_date("timestamp").cast("string")), ["day"])
+        batch_writer(path)(parts, batch_id)
+    return _start(df, write, checkpoint, "append", every, once)
+
+
+def merged_report(rows: DataFrame) -> DataFrame:
+    """How a table of report parts is compacted."""
+    return sk.merged_parts(rows, ["day"])
+
+
 def land_raw(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Topic events to the raw store by date and hour, with the exactly-once file sink."""
     dated = df.withColumn("date", F.to_date("timestamp")).withColumn("hour", F.hour("timestamp"))
