@@ -46,13 +46,14 @@ def index_pairs(pairs: DataFrame) -> DataFrame:
 
 def train_als(
     indexed: DataFrame, rank: int = 64, iters: int = 15, reg: float = 0.1, seed: int = 42,
-    rating: str = "interaction_count", blocks: int = 10,
+    rating: str = "interaction_count", blocks: int = 0,
 ) -> ALSModel:
     """Implicit-feedback factorisation of observed pairs with their count as confidence.
 
     Only pairs with a positive weight take part: a user whose rows are all zero makes the implicit system singular.
     """
     ensure_checkpoint_dir(indexed.sparkSession)
+    blocks = blocks or max(1, indexed.sparkSession.sparkContext.defaultParallelism)  # one per core of the cluster
     als = ALS(
         rank=rank, maxIter=iters, regParam=reg, implicitPrefs=True, userCol="user_index", itemCol="item_index",
         ratingCol=rating, coldStartStrategy="drop", seed=seed, checkpointInterval=5, numUserBlocks=blocks,

@@ -8,12 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillmark.operators import scale
 from rillmark.operators.scale import running_total
 from rillmark.session import checkpointed
 
 # Smallest share a bin is given in the population stability index. Fixed value.
 SHARE_FLOOR = 1e-6
-DRIFT_PIECES = 64  # value ranges of a column whose running totals are taken apart
 
 
 def check_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -107,12 +107,15 @@ def drift(
     """
     mark = long_form(ref, columns).withColumn("_r", F.lit(1)).unionByName(long_form(cur, columns).withColumn("_r", F.lit(0)))
     counts = mark.groupBy("column_name", "value").agg(F.sum("_r").alias("r"), F.sum(1 - F.col("_r")).alias("c"))
+    counts = checkpointed(counts, "drift-counts")  # read for the cuts, both running totals and the bins
     filled = counts.where(F.col("value").isNotNull())
-    steps = [i / DRIFT_PIECES for i in range(1, DRIFT_PIECES)]
+    # value ranges of about ROWS distinct values, whose running totals are taken apart
+    pieces = max(1, min(scale.MOST_PIECES, -(-filled.count() // scale.ROWS)))
+    steps = [i / pieces for i in range(1, pieces)] or [0.5]
     # One row per listed column: the number of columns bounds every broadcast here. Approximate cuts may differ when they are
     # computed again, so they are stored and both uses below see the same ones.
     stats = checkpointed(filled.groupBy("column_name").agg(
-        F.percentile_approx("value", F.array(*[F.lit(x) for x in steps]), F.lit(2000)).alias("_cuts"),
+        F.percentile_approx("value", F.array(*[F.lit(x) for x in steps]), F.lit(max(2000, 8 * pieces))).alias("_cuts"),
         F.sum("r").alias("rn"), F.sum("c").alias("cn")), "drift-cuts")
     placed = filled.join(F.broadcast(stats), "column_name").withColumn(
         "_b", F.size(F.filter("_cuts", lambda e: e < F.col("value")))).drop("_cuts")

@@ -24,12 +24,12 @@ def top_items(df: DataFrame, k: int, out: str = "rank") -> DataFrame:
     return top_per_group(df, ["user_id"], [F.desc("score"), F.asc("item_id")], k, out)
 
 
-def ranked_lists(df: DataFrame, steps: int = 64) -> DataFrame:
+def ranked_lists(df: DataFrame, rows: int = 0) -> DataFrame:
     """Every user's whole list numbered by score (ties by item id), with no bound on its length.
 
-    Scores are cut into ranges so that a long list is numbered in pieces.
+    Scores are cut into ranges of about ``rows`` rows, so that a long list is numbered in pieces.
     """
-    placed = value_pieces(df.withColumn("_neg", -F.col("score")), "_neg", "_b", steps)
+    placed = value_pieces(df.withColumn("_neg", -F.col("score")), "_neg", "_b", rows)
     numbered = running_total(placed, ["user_id"], "_b", ["_neg", "item_id"], F.lit(1), "rank")
     return numbered.drop("_neg", "_b")
 

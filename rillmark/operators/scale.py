@@ -16,6 +16,10 @@ from rillmark.functions.columns import col, sha_hex
 from rillmark.session import checkpointed
 
 _FIRST = Window.unboundedPreceding
+_LARGEST = 1.7976931348623157e308
+ROWS = 200_000  # rows of a group that one task may order
+CUTS = 256  # parts a value range is cut into at a time
+MOST_PIECES = 10_000  # value ranges of a column that is ordered whole
 
 
 def running_total(
@@ -94,74 +98,116 @@ def smallest_by_hash(df: DataFrame, hashed: str, n: Column, ties: Sequence[str])
     return below.unionByName(inside.where(F.col("_rn") <= n - edge["_start"]).drop("_rn")).drop("_b")
 
 
-def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float], pieces: int = 64
-) -> DataFrame:
-    """Exact interpolated percentiles per group without holding a group in one aggregation buffer.
-
-    Equal values are counted first. Approximate quantiles (bounded memory) cut the value range into pieces; they
-    only steer the partitioning, and are stored because a second computation may give other ones. Running counts inside the pieces then locate the exact order statistics.
+def narrowed(counts: DataFrame, places: DataFrame, rows: int) -> DataFrame:
+    """Cut the slices of ``places`` (_k, n, lo, hi, d, base, pos) until none holds more than ``rows`` distinct values of ``counts``
+    (_k, _v, _c); base counts the group's rows before a slice, d its distinct values."""
+    def finite(c: Column | str) -> Column:
+        """Half of a value, so that differences stay in range; infinite ones and NaN count as the largest."""
+        return F.greatest(F.least(F.col(c) if isinstance(c, str) else c, F.lit(_LARGEST)), F.lit(-_LARGEST)) / 2
+
+    width = finite("hi") - finite("lo")
+    open_ = (F.col("d") > rows) & (width > 0)
+    inside = (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))
+    while places.where(open_).limit(1).count():
+        wide = places.where(open_)
+        slices = wide.select(F.col("_k").alias("_s"), "lo", "hi").distinct()
+        part = F.least(F.floor((finite("_v") - finite("lo")) / width * CUTS), F.lit(CUTS - 1))
+        parts = counts.join(slices, (F.col("_k") == F.col("_s")) & inside).groupBy("_s", "lo", part.alias("part")).agg(
+            F.sum("_c").alias("c"), F.count("*").alias("pd"), F.min("_v").alias("plo"), F.max("_v").alias("phi"))
+        upto = Window.partitionBy("_s", "lo").orderBy("part")  # CUTS rows at most
+        parts = parts.withColumn("before", F.sum("c").over(upto) - F.col("c")).withColumnRenamed("lo", "_lo")
+        left = F.col("pos") - F.col("base")
+        found = wide.join(parts, (F.col("_k") == F.col("_s")) & (F.col("lo") == F.col("_lo"))
+                          & (left >= F.col("before")) & (left < F.col("before") + F.col("c")))
+        found = found.select("_k", "n", F.col("plo").alias("lo"), F.col("phi").alias("hi"), F.col("pd").alias("d"),
+                             (F.col("base") + F.col("before")).alias("base"), "pos")
+        places = checkpointed(places.where(~open_).unionByName(found), "places")
+    return places
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float], rows: int = 0) -> DataFrame:
+    """Exact interpolated percentiles per group by repeated narrowing; no task orders more than ``rows`` (ROWS) values.
+
+    Equal values are counted first. A slice of a group's value range that holds a wanted position and more than ``rows`` distinct
+    values is cut into CUTS equal parts, whose counts say in which part the position lies; that part is cut again, and so on.
+    Wherever the values crowd, the slices follow them. Only the values of the last slices are put in order. Null values are left out;
+    groups with a null key are groups; NaN counts as the largest value.
     """
-    keys = list(keys)
-    counts = df.where(col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    cuts = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    edge_agg = F.percentile_approx(col(value), cuts, F.lit(2000)).alias("_edges")
-    size_agg = F.sum("_c").alias("_n")
-    stats = counts.groupBy(*keys).agg(edge_agg, size_agg) if keys else counts.agg(edge_agg, size_agg)
-    stats = checkpointed(stats, "pieces")
-    if keys:
-        placed = counts.join(stats, keys)
-    else:
-        one_row = stats.select(F.struct("_edges", "_n").alias("s")).scalar()
-        placed = counts.withColumn("_s", one_row).select("*", "_s._edges", "_s._n").drop("_s")
-    placed = placed.withColumn("_b", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
-    ranked = running_total(placed, keys, "_b", [value], F.col("_c"), "_cum")
-    aggs = []
-    for name, p in probabilities.items():
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        # Smallest value whose running count passes the (0-based) position.
-        aggs.append(F.min(F.when(F.col("_cum") > F.floor(pos), col(value))).cast("double").alias(f"_lo_{name}"))
-        aggs.append(F.min(F.when(F.col("_cum") > F.ceil(pos), col(value))).cast("double").alias(f"_hi_{name}"))
-    grouped = ranked.groupBy(*keys) if keys else ranked.groupBy()
-    picked = grouped.agg(F.max("_n").alias("_n"), *aggs)
+    rows = rows or ROWS
+    name_key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_all"))
+    counts = df.where(col(value).isNotNull()).groupBy(name_key.alias("_k"), F.col(value).cast("double").alias("_v")).agg(
+        F.count("*").alias("_c"))
+    counts = checkpointed(counts, "value-counts")
+    stats = counts.groupBy("_k").agg(F.sum("_c").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
+                                     F.count("*").alias("d"))
+    at = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probabilities.items()}
+    wanted = F.array_distinct(F.array(*[f(x).cast("bigint") for x in at.values() for f in (F.floor, F.ceil)]))
+    places = checkpointed(stats.select("_k", "n", "lo", "hi", "d", F.lit(0).cast("bigint").alias("base"),
+                                       F.explode(wanted).alias("pos")), "places")
+
+    places = narrowed(counts, places, rows)
+    inside = (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))
+    slices = places.select(F.col("_k").alias("_s"), "lo", "hi").distinct()
+    ordered = counts.join(slices, (F.col("_k") == F.col("_s")) & inside).select("_s", F.col("lo").alias("_lo"), "_v", "_c")
+    ordered = ordered.withColumn("cum", F.sum("_c").over(Window.partitionBy("_s", "_lo").orderBy("_v")))
+    left = F.col("pos") - F.col("base")
+    values = places.join(ordered, (F.col("_k") == F.col("_s")) & (F.col("lo") == F.col("_lo"))
+                         & (F.col("cum") > left) & (F.col("cum") - F.col("_c") <= left))
+    per = values.groupBy("_k", "n").agg(F.map_from_entries(F.collect_list(F.struct("pos", "_v"))).alias("m"))  # two per probability
     outs = []
-    for name, p in probabilities.items():
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        outs.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return picked.select(*keys, F.col("_n").alias("n"), *outs)
+    for name, x in at.items():
+        lo, hi = (F.element_at("m", f(x).cast("bigint")) for f in (F.floor, F.ceil))
+        outs.append((lo + F.when(hi == lo, 0.0).otherwise((hi - lo) * (x - F.floor(x)))).alias(name))
+    return per.select(*[F.col(f"_k.{k}").alias(k) for k in keys], "n", *outs)
 
 
-def value_pieces(df: DataFrame, value: str, out: str, pieces: int = 64) -> DataFrame:
-    """Add ``out``, the number of the value range a row falls in; ranges come from approximate quantiles.
+def value_pieces(df: DataFrame, value: str, out: str, rows: int = 0) -> DataFrame:
+    """Add ``out``, the number of the value range a row falls in, ranges holding about ``rows`` (ROWS) rows each.
 
-    The few edges are computed once and become constants of the plan, so that every use places a row alike.
+    The ranges come from approximate quantiles; their number follows from the number of rows, up to MOST_PIECES. The edges are computed
+    once and become constants of the plan, so that every use places a row alike.
     """
+    pieces = min(MOST_PIECES, -(-df.count() // (rows or ROWS)))
+    if pieces <= 1:
+        return df.withColumn(out, F.lit(0))
+    return df.withColumn(out, piece_of(F.array(*[F.lit(float(e)) for e in _edges(df, value, pieces)]), F.col(value).cast("double")))
+
+
+def piece_of(edges: Column | str, value: Column) -> Column:
+    """How many of the edges lie below the value."""
+    return F.size(F.filter(edges, lambda e: e < value))
+
+
+def _edges(df: DataFrame, value: str, pieces: int) -> list[float]:
     cuts = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    edges = df.groupBy().agg(F.percentile_approx(col(value), cuts, F.lit(2000)).alias("e")).first().e or []
-    return df.withColumn(out, F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(value))))
+    return df.groupBy().agg(F.percentile_approx(col(value), cuts, F.lit(max(2000, 8 * pieces))).alias("e")).first().e or []
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 1 / 256) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows; by that definition there are fewer than 1/share of them."""
+def _hot_counts(df: DataFrame, key: str, share: float) -> DataFrame:
     counts = df.groupBy(key).agg(F.count("*").alias("_c"))
     total = counts.agg(F.sum("_c")).scalar()
-    return counts.where(F.col("_c") > F.lit(float(share)) * total).select(key)
+    return counts.where(F.col("_c") > F.lit(float(share)) * total)
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 1 / 256) -> DataFrame:
+    """Keys that hold more than ``share`` of all rows; by that definition there are fewer than 1/share of them."""
+    return _hot_counts(df, key, share).select(key)
 
 
 def salted_join(
-    big: DataFrame, small: DataFrame, key: str, how: str = "inner", salts: int = 32, share: float = 1 / 256
+    big: DataFrame, small: DataFrame, key: str, how: str = "inner", rows: int = 0, share: float = 1 / 256
 ) -> DataFrame:
-    """Equi-join that spreads the rows of hot keys over ``salts`` tasks.
+    """Equi-join that spreads the rows of hot keys over as many tasks as their number asks for: about ``rows`` (ROWS) to each.
 
     Only the small side's rows of hot keys are repeated. The salt is a hash of the row, so a recomputed task draws the
     same one. The list of hot keys is broadcast: it cannot hold more than 1/share rows.
     """
-    hot = F.broadcast(hot_keys(big, key, share).withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("int")
-    left = big.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = small.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    salts = F.ceil(F.col("_c") / F.lit(rows or ROWS)).cast("int")
+    hot = F.broadcast(_hot_counts(big, key, share).select(key, salts.alias("_salts")))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_salts")).cast("int")
+    left = big.join(hot, key, "left").withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0)))
+    right = small.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 

@@ -78,6 +78,50 @@ def test_exact_percentile(spark, values, q):
     assert sc.exact_percentiles(df, [], "v", {"p": q}, 8).first().p == pytest.approx(want)
 
 
+def test_percentiles_of_crowded_and_extreme_values(spark):
+    rnd = random.Random(5)
+    # a third of all values in a millionth of the range, some far out, and groups with null keys
+    values = [1.0 + rnd.random() * 1e-6 for _ in range(700)] + [rnd.uniform(-1e6, 1e6) for _ in range(1300)] + [
+        1e308, -1e308, float("inf"), float("-inf"), 5e-324, 0.0, -0.0] + [7.0] * 500
+    df = spark.createDataFrame([(None if k % 2 else "a", v) for k, v in enumerate(values)], "k string, v double")
+    probs = {f"p{int(q * 1000)}": q for q in (0.0, 0.001, 0.3, 0.5, 0.55, 0.9, 0.999, 1.0)}
+    got = {r.k: r for r in sc.exact_percentiles(df, ["k"], "v", probs, 10).collect()}
+    assert set(got) == {"a", None}
+    for key, parity in (("a", 0), (None, 1)):
+        own = sorted(v for k, v in enumerate(values) if k % 2 == parity)
+        assert got[key].n == len(own)
+        for name, q in probs.items():
+            at = q * (len(own) - 1)
+            lo, hi = own[int(np.floor(at))], own[int(np.ceil(at))]
+            assert got[key][name] == (lo if lo == hi else pytest.approx(lo + (hi - lo) * (at - np.floor(at))))
+
+
+def test_narrowing_leaves_no_large_slice(spark):
+    crowded = spark.range(30_000).select(F.struct(F.lit(0)).alias("_k"), F.lit(1).cast("bigint").alias("_c"), (
+        F.when(F.col("id") % 3 == 0, F.lit(5.0) + F.col("id") * 1e-12).otherwise(F.col("id") * 1e3)).alias("_v"))
+    n = 30_000
+    places = crowded.groupBy("_k").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("*").alias("d")).select(
+        "_k", F.lit(n).cast("bigint").alias("n"), "lo", "hi", "d", F.lit(0).cast("bigint").alias("base"),
+        F.explode(F.array(*[F.lit(x).cast("bigint") for x in (0, 100, 5000, 9999, 10_000, 20_000, n - 1)])).alias("pos"))
+    got = sc.narrowed(crowded, places, 50).collect()
+    assert len(got) == 7 and max(r.d for r in got) <= 50
+    assert all(r.base <= r.pos < r.base + r.d for r in got)
+
+
+def test_pieces_follow_the_number_of_rows(spark):
+    df = spark.range(5000).select((F.col("id") * F.col("id")).cast("double").alias("v"))
+    sizes = [r["count"] for r in sc.value_pieces(df, "v", "b", 200).groupBy("b").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) < 500
+    assert sc.value_pieces(df, "v", "b").agg(F.max("b")).first()[0] == 0  # few rows are one piece
+
+
+def test_hot_keys_are_salted_by_their_rows(spark, skewed):
+    _, df = skewed
+    small = spark.createDataFrame([("hot", 1), ("k1", 3)], "key string, w int")
+    for n in (1, 7, 1000):
+        assert rows(sc.salted_join(df, small, "key", "inner", n), "id", "w") == rows(df.join(small, "key"), "id", "w")
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_plain_join(spark, skewed, how):
     _, df = skewed
