@@ -2,16 +2,20 @@
 
 from pyspark.sql import functions as F
 
+from rillmark.operators import driftcounts as dc
 from rillmark.operators import sketches as sk
 from rillmark.operators.events import validate_events
+from rillmark.operators.monitor import window_start
 from rillmark.plans.event_plans import served_records
 from rillmark.plans.registry import ORACLES, query, with_views
-from rillmark.session import scratch_dir
+from rillmark.session import checkpointed, scratch_dir
 from rillmark.sources import adapters
 from rillmark.sources.snapshots import read_batches
 from rillmark.sources.store import is_directory
 from rillmark.streaming import flows, sinks
 from rillmark.streaming.activity import activity_stream, state_session, stream_session
+from rillmark.streaming.progress import lag_alerts as alerts
+from rillmark.streaming.progress import lag_by_window
 
 
 class _StreamReads:
@@ -141,3 +145,45 @@ def stream_event_report(spark, root):
     path = _finish(sinks.start_report, spark, "report", lambda s: flows.checked_stream(event_stream(s, root)))
     out = sk.report_of(read_batches(spark, path, sinks.merged_report), ["day"])
     return out.select(*[F.round(c, 6).alias(c) if c.startswith("share") else F.col(c) for c in out.columns])
+
+
+# The reference is the first half of the log, the stream the second; the index over all batches comes from their counts.
+@query("stream_drift", with_views("raw", """
+    WITH v AS (SELECT ts < TIMESTAMP '2024-01-16' AS old, unnest(['value', 'hour']) AS column_name,
+                      unnest([value, CAST(hour(ts) AS DOUBLE)]) AS value FROM events),
+    e AS (SELECT column_name, list(quantile_cont) AS edges FROM (
+            SELECT column_name, unnest(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS quantile_cont FROM v WHERE old GROUP BY 1)
+          GROUP BY 1),
+    b AS (SELECT column_name, len(list_filter(edges, lambda x: x < value)) AS bin, count(*) FILTER (old) AS r, count(*) FILTER (NOT old) AS c
+          FROM v JOIN e USING (column_name) GROUP BY 1, 2),
+    s AS (SELECT column_name, greatest(r / CAST(sum(r) OVER w AS DOUBLE), 1e-6) AS rs, greatest(c / CAST(sum(c) OVER w AS DOUBLE), 1e-6) AS cs
+          FROM b WINDOW w AS (PARTITION BY column_name))
+    SELECT column_name, round(sum((cs - rs) * ln(cs / rs)), 6) AS psi, sum((cs - rs) * ln(cs / rs)) >= 0.2 AS drifted,
+           (SELECT count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-16') AS rows_cur FROM s GROUP BY 1"""))
+def stream_drift(spark, root):
+    half = F.lit("2024-01-16").cast("timestamp")
+
+    def numbers(source):
+        return adapters.table(source, root, "events").select(
+            F.col("ts").cast("timestamp").alias("timestamp"), "value", F.hour("ts").cast("double").alias("hour"))
+
+    reference = checkpointed(dc.drift_reference(numbers(spark).where(F.col("timestamp") < half), ["value", "hour"]), "drift-reference")
+    monitor = sinks.DriftMonitor(reference, ("value", "hour"), scratch_dir(spark, "drift-counts"), 1 << 40)
+    _finish(sinks.start_drift, spark, "drift", lambda s: numbers(_StreamReads(s)).where(F.col("timestamp") >= half), monitor=monitor)
+    return monitor.index(spark, 1 << 30).select("column_name", F.round("psi", 6).alias("psi"), "drifted", "rows_cur")
+
+
+# A consumer's lag stands in by the running surplus of a topic's arrivals over a fixed capacity an hour.
+@query("lag_alerts", """
+    WITH a AS (SELECT event_type AS "query", date_trunc('hour', ts) AS w, sum(value) AS v FROM events GROUP BY 1, 2),
+    h AS (SELECT "query", w, CAST(floor(v) AS BIGINT) AS behind FROM a),
+    i AS (SELECT *, epoch_us(w) // 3600000000 - row_number() OVER (PARTITION BY "query" ORDER BY w) AS g FROM h
+          WHERE behind > (SELECT CAST(floor(avg(behind)) AS BIGINT) FROM h))
+    SELECT "query" AS series, min(w) AS started, max(w) AS last_window, count(*) AS windows FROM i GROUP BY "query", g HAVING count(*) >= 3""")
+def lag_alerts(spark, root):
+    events = adapters.table(spark, root, "events").select("event_type", "value", F.col("ts").cast("timestamp").alias("timestamp"))
+    hourly = events.groupBy("event_type", window_start("timestamp", 3600).alias("timestamp")).agg(
+        F.floor(F.sum("value")).cast("bigint").alias("offsets_behind"))
+    lag = checkpointed(lag_by_window(hourly.withColumnRenamed("event_type", "query"), 3600), "lag")
+    limit = lag.groupBy().agg(F.floor(F.avg("offsets_behind")).cast("bigint")).scalar()
+    return alerts(lag, limit, 180, 3600)

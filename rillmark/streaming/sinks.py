@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import dataclasses
 import time
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rillmark.functions.columns import safe_ratio
+from rillmark.operators import driftcounts as dc
 from rillmark.operators import features as ft
 from rillmark.operators import models as ml
 from rillmark.operators import sketches as sk
@@ -80,6 +82,14 @@ def start_report(df: DataFrame, path: str, checkpoint: str, every: str = EVERY,
     return _start(df, write, checkpoint, "append", every, once)
 
 
+def start_drift(df: DataFrame, path: str, checkpoint: str, monitor: DriftMonitor, every: str = EVERY, once: bool = False) -> StreamingQuery:
+    """Count every micro-batch in the bins of a drift reference, and store the trailing index per column below ``path``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        monitor.add(batch, batch_id)
+        batch_writer(path)(monitor.index(batch.sparkSession, batch_id), batch_id)
+    return _start(df, write, checkpoint, "append", every, once)
+
+
 def merged_report(rows: DataFrame) -> DataFrame:
     """How a table of report parts is compacted."""
     return sk.merged_parts(rows, ["day"])
@@ -100,15 +110,40 @@ def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None
     return spark.read.parquet(f"{path}/batch_id={max(earlier)}") if earlier else None
 
 
+@dataclasses.dataclass(frozen=True)
+class DriftMonitor:
+    """Drift of a stream against a stored reference (``driftcounts.drift_reference``), over the last ``batches`` micro-batches.
+
+    Each batch is counted once, in its bins; windows are read from the counts below ``path``.
+    """
+
+    reference: DataFrame
+    columns: tuple[str, ...]
+    path: str
+    batches: int = 24
+
+    def add(self, df: DataFrame, batch_id: int) -> None:
+        batch_writer(self.path)(dc.drift_counts(df, self.reference, self.columns), batch_id)
+
+    def index(self, spark: SparkSession, upto: int) -> DataFrame:
+        """The index per column of the window that ends with a batch."""
+        return dc.psi(dc.trailing(spark.read.parquet(self.path), upto, self.batches), self.reference)
+
+    def score(self, df: DataFrame, batch_id: int) -> Column:
+        self.add(df, batch_id)
+        return dc.drift_score(self.index(df.sparkSession, batch_id)).scalar()
+
+
 def online_update(
     root: str, factors: DataFrame, started_at: str, model: str = "als", reg: float = 0.1, rule: RetrainRule = RetrainRule(),
-    drift: Callable[[DataFrame], float] | None = None,
+    drift: Callable[[DataFrame], float] | None = None, monitor: DriftMonitor | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Handler for raw events: batch features per user and item, folded-in user factors, and the retrain state.
 
     The k x k inverse of the item factors is computed once. The tables below ``root`` are user_delta, item_delta, user_factors,
     retrain and metrics (rows, seconds and whether a retrain fired); each holds one folder per batch, so a retry after a
-    failure repeats a batch without doubling it. A batch is read once: it is held while its tables are written.
+    failure repeats a batch without doubling it. A batch is read once: it is held while its tables are written. The drift that the
+    retrain rule looks at comes from ``monitor``, by the counts of a trailing window of batches, or from a function of the batch.
     """
     inverse = ml.gram_inverse(factors, reg)
 
@@ -119,7 +154,7 @@ def online_update(
             batch_writer(f"{root}/{name}")(ft.entity_state(events, key), batch_id)
         weighted = events.select("user_id", "item_id", F.coalesce("rating", F.lit(1.0)).alias("rating"), "timestamp")
         batch_writer(f"{root}/user_factors")(ml.fold_in(weighted, factors, reg, inverse), batch_id)
-        score = F.lit(drift(df) if drift else 0.0)
+        score = monitor.score(df, batch_id) if monitor else F.lit(drift(df) if drift else 0.0)
         stats = events.groupBy().agg(F.count("*").alias("events"), F.max("timestamp").alias("at")).select(
             F.lit(model).alias("model"), "events", score.alias("drift_score"), "at")
         before = _previous(spark, f"{root}/retrain", batch_id)
