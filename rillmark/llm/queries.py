@@ -21,7 +21,6 @@ from rillmark.llm.quality import quality
 from rillmark.llm.tokencount import count_tokens, unigram_vocabulary
 from rillmark.llm.tokenfiles import document_digests, write_tokens
 from rillmark.llm.toxicity import toxicity, train
-from rillmark.llm.treebpe import decode as decode_words
 from rillmark.llm.treebpe import encode as encode_words
 from rillmark.session import scratch_dir
 
@@ -133,7 +132,7 @@ def op13_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text's token ids, long texts by halves, and of the text they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode_words(encode_words(docs, path, drop_text=True), path)
+    coded = encode_words(docs, path, drop_text=True, decoded="decoded")
     return coded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

@@ -2,102 +2,33 @@
 
 from __future__ import annotations
 
-import os
-import re
-import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from rillmark.llm.common import stored
+from rillmark.llm.wordbpe import read_rules, word_encoder
 from rillmark.operators.scale import running_total
 
-REMEMBERED = 250_000  # words, and pieces of words, whose ids a task keeps at once
-
-# How the tokenizer splits a word, and the character its vocabulary has for each byte.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|[^\w\s]+|_+")
-_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_CHARS = dict(zip(_SHOWN, _SHOWN)) | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
-_PLAIN = re.compile(r"[!-^`-~\xc0-\xd6\xd8-\xf6\xf8-\u017f]+")
-
-
-class _Words(dict):
-    """Ids of words; a word that is not there is encoded. Two generations: what is still used outlives a clearing."""
-
-    def __init__(self, encode):
-        self.encode, self.old = encode, {}
-
-    def __missing__(self, word):
-        if len(self) >= REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-        ids = self.old.get(word)
-        ids = self[word] = self.encode(word) if ids is None else ids
-        return ids
-
-
-class WordEncoder:
-    """Ids of whole texts for a tokenizer that drops white space and lower-cases: texts are encoded word by word.
-
-    Words of Latin letters, digits and ASCII signs are split by the tokenizer's pattern and their pieces go straight to the
-    library's model; other words go through the whole library. A task remembers words and pieces it has seen. A text
-    that might hold the string of a special token is given to the library whole.
-    """
-
-    def __init__(self, tokenizer: str, end_id: int):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        self.library = Tokenizer.from_str(tokenizer)
-        self.model = self.library.model
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.marks = [t.content.lower().encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.pieces, self.words = _Words(self._piece), _Words(self._word)
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        if not piece.isascii():
-            piece = piece.encode().decode("latin-1").translate(_CHARS)
-        tokens = self.model.tokenize(piece)
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if not _PLAIN.fullmatch(text):
-            return self._whole(text)
-        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
-
-    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        out = []
-        for t in texts:
-            low = (t or b"").lower()
-            if any(m in low for m in self.marks):
-                out.append(self._whole(t.decode()) + self.end)
-            else:
-                out.append(b"".join(map(self.words.__getitem__, low.split())) + self.end)
-        return out
-
 
 def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """(doc_id, n_tokens, ids) of every row's whole text, with the end id appended; null and empty texts hold only that.
 
     The order of the rows of a partition is kept.
     """
-    with open(tokenizer_path, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())  # as large as the vocabulary file
+    shared = docs.sparkSession.sparkContext.broadcast(read_rules(tokenizer_path))  # as large as the vocabulary file
 
     def run(batches):
-        encoder = WordEncoder(shared.value, end_id)
+        encoder, end = word_encoder(shared.value), np.array([end_id], np.int32)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = encoder(part.column("text").cast(pa.binary()).to_pylist())
-                ends = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(ids), "<u4").view(np.int32))
+                ids = encoder.batch(part.column("text").cast(pa.binary()).to_pylist())
+                ends = np.cumsum([0] + [len(x) + 1 for x in ids]).astype(np.int32)
+                flat = pa.array(np.concatenate([x for one in ids for x in (one, end)] or [end[:0]]).astype(np.int32))
                 yield pa.record_batch({"doc_id": part.column("doc_id"), "n_tokens": pa.array(np.diff(ends), pa.int32()),
                                        "ids": pa.ListArray.from_arrays(pa.array(ends), flat)})
 
@@ -107,14 +38,16 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, dictionary: bool = True,
                  group_bytes: int = 32 << 20, page_bytes: int = 256 << 10, page_rows: int = 2000) -> None:
-    """Write (doc_id, n_tokens, ids) in ascending doc_id order (null first, ties by text), file after file by part number.
+    """Write (doc_id, n_tokens, ids) in ascending doc_id order (null first, ties by text), file after file by name.
 
     ids are dictionary-encoded (a vocabulary of under 2^17 ids takes 17 bits or fewer each), or delta-bit-packed if
     ``dictionary`` is false; row groups and pages are kept small, and the writer adds column and offset indexes, so that a
-    reader with a filter on doc_id fetches only the pages it needs. Texts are dealt by ranges of doc_id before they are
-    encoded, so ids are never shuffled and no task holds more than its range.
+    reader with a filter on doc_id fetches only the pages it needs. Texts are dealt by ranges of (doc_id, first characters)
+    before they are encoded, so ids are never shuffled, no task holds more than its range, and the sample that finds the ranges
+    holds no whole text.
     """
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text", F.substring("text", 1, 16).alias("begin"))
+    ordered = ordered.repartitionByRange("doc_id", "begin").sortWithinPartitions("doc_id", "text")
     options = {"compression": "zstd", "parquet.writer.version": "v2", "parquet.enable.dictionary": str(dictionary).lower(),
                "parquet.block.size": group_bytes, "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows,
                "parquet.dictionary.page.size": 2 << 20}
@@ -142,9 +75,11 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "file": batch.column("file"), "row": batch.column("row"),
                                    "n_tokens": pa.array(np.diff(ends).astype(np.int64)), "ids_crc32": pa.array(sums, pa.int64())})
 
-    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    # by part number, then name: a writer that cuts long parts numbers the files of a part in their names
+    name = F.col("_metadata.file_name")
+    number = F.struct(F.regexp_extract(name, r"part-(\d+)", 1).cast("int").alias("part"), name.alias("name"))
     rows = read_tokens(spark, path, ("doc_id", "ids", number.alias("file"), F.col("_metadata.row_index").alias("row")))
-    rows = rows.mapInArrow(digest, "doc_id bigint, file int, row bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = rows.mapInArrow(digest, "doc_id bigint, file struct<part int, name string>, row bigint, n_tokens bigint, ids_crc32 bigint")
     rows = stored(rows, "token-digests")  # a few numbers per document; the running total reads them twice
     placed = running_total(rows, [], "file", ["row"], F.col("n_tokens"), "end")
     return placed.select("doc_id", (F.col("end") - F.col("n_tokens")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import dataclasses
 import functools
-import json
 import unicodedata
 
 import numpy as np
@@ -12,12 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from rillmark.llm.common import fresh_names
-from rillmark.llm.wordbpe import WordEncoder, word_encoder
+from rillmark.llm.wordbpe import WordEncoder, read_rules, word_encoder
 
 LEAF = 8192  # code points above which a text is halved
-EDGE = 256  # code points at either end of a leaf whose tokens' places are kept (more, up to the next white space)
+EDGE = 96  # code points at either end of a leaf whose tokens' places are kept (more, up to the next white space)
 WINDOW = 32  # code points on either side of a seam that are encoded again at first
 _SPACE = " \t\n\x0b\x0c\r"
 
@@ -94,7 +94,7 @@ def leaf_node(encoder: WordEncoder, text: str, edge: int = EDGE) -> Node:
     if start < end:
         one = _edge(encoder, text)
         return Node(one.ids, one, one, True)
-    return Node(np.frombuffer(encoder(text), "<i4"), _edge(encoder, text[:end]), _edge(encoder, text[start:]), False)
+    return Node(encoder.batch([text])[0], _edge(encoder, text[:end]), _edge(encoder, text[start:]), False)
 
 
 def _common(edge: Edge, window: Edge, shift: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +146,7 @@ def tree(encoder: WordEncoder, nodes: list[Node], window: int = WINDOW) -> Node:
     return nodes[0]
 
 
-_NODE = "h1 bigint, h2 bigint, no int, ids array<int>, head struct<text string, places array<int>>, " \
+_NODE = "h1 bigint, h2 bigint, no int, ids binary, head struct<text string, places array<int>>, " \
         "tail struct<text string, places array<int>>, whole boolean"
 
 
@@ -160,19 +160,34 @@ def _unpacked(packed: pa.StructScalar, ids: np.ndarray, last: bool) -> Edge:
     return Edge(packed["text"].as_py(), ids[len(ids) - n:] if last else ids[:n], places[:, 0], places[:, 1])
 
 
-def _int_lists(parts: list[bytes]) -> pa.Array:
-    ends = np.cumsum([0] + [len(p) // 4 for p in parts])
-    return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(b"".join(parts), "<i4"))).cast(
-        pa.list_(pa.int32()))
+def _int_lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0] + [len(p) for p in parts])
+    flat = np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
+    return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat)).cast(pa.list_(pa.int32()))
 
 
-def read_spec(path: str) -> str:
-    with open(path, encoding="utf-8") as f:
-        return f.read()
+class Decoder:
+    """Texts of id lists. A file without a decoder has its tokens joined by one space; with one, the library decodes."""
+
+    def __init__(self, tokens: list[str | None], spec: str | None):
+        self.tokens, self.library = tokens, Tokenizer.from_str(spec) if spec else None
+
+    @staticmethod
+    def read(path: str) -> tuple[list[str | None], str | None]:
+        library = Tokenizer.from_file(path)
+        shown = {k: t for t, k in library.get_vocab(with_added_tokens=True).items()}
+        return [shown.get(k) for k in range(max(shown, default=-1) + 1)], library.to_str() if library.decoder is not None else None
+
+    def __call__(self, ids: np.ndarray) -> str:
+        if self.library is not None:
+            return self.library.decode(ids.tolist(), skip_special_tokens=False)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.tokens)):
+            ids = ids[(ids >= 0) & (ids < len(self.tokens))]
+        return " ".join(filter(None, map(self.tokens.__getitem__, ids.tolist())))
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", leaf: int = LEAF, window: int = WINDOW,
-           drop_text: bool = False) -> DataFrame:
+           drop_text: bool = False, decoded: str | None = None) -> DataFrame:
     """Add ``out``, the token ids (array of int) of the whole text as the tokenizer file at ``path`` gives them.
 
     Texts of up to ``leaf`` code points are encoded where they are read. Longer ones are halved until no part is longer, all parts
@@ -181,29 +196,39 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", lea
     however many rows share one. So neither a very long text nor a very common one is one task's work.
 
     Null and empty texts give an empty list. Rows may repeat, also with null ids; every other column is passed on, whatever its
-    name; an ``out`` that exists is replaced. A tokenizer file whose rules are not those that :func:`join` relies on (see
+    name; an ``out`` that exists is replaced. ``decoded`` names a column for the text that the ids decode to (see :func:`decode`), made
+    in the same pass. A tokenizer file whose rules are not those that :func:`join` relies on (see
     :class:`WordEncoder`) has every text encoded whole. The text column itself is left out if ``drop_text``. Empty input gives an empty table.
     """
-    docs = docs.drop(out)
-    spec = read_spec(path)
-    shared = docs.sparkSession.sparkContext.broadcast(spec)  # as large as the tokenizer file
+    docs = docs.drop(out, *([decoded] if decoded else []))
+    rules = read_rules(path)
+    shared = docs.sparkSession.sparkContext.broadcast(rules)  # as large as the tokenizer file
     kept = [f for f in docs.schema.fields if not (drop_text and f.name == text)]
     names = [f.name for f in kept]
-    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.IntegerType()))]
+                          + ([T.StructField(decoded, T.StringType())] if decoded else []))
+    shown = docs.sparkSession.sparkContext.broadcast(Decoder.read(path) if decoded else None)
+
+    def finished(columns: list, ids: list[np.ndarray], decoder: Decoder | None) -> pa.RecordBatch:
+        columns = [*columns, _int_lists(ids)]
+        if decoder:
+            columns.append(pa.array([decoder(x) for x in ids], pa.string()))
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     def whole(batches):
-        encoder = word_encoder(shared.value)
+        encoder, decoder = word_encoder(shared.value), Decoder(*shown.value) if decoded else None
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = _int_lists([encoder(t) for t in part.column(text).cast(pa.binary()).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), ids], names=[*names, out])
+                ids = encoder.batch(part.column(text).cast(pa.binary()).to_pylist())
+                yield finished([part.column(c) for c in names], ids, decoder)
 
-    if not word_encoder(spec).by_words:
+    if not rules.by_words:
         return docs.mapInArrow(whole, schema)
     size = F.coalesce(F.length(F.col(f"`{text}`")), F.lit(0))
     short = docs.where(size <= leaf).mapInArrow(whole, schema)
 
+    narrow = np.dtype("<u2" if rules.tokens <= 1 << 16 else "<i4")  # ids as they are shuffled
     h1, h2 = fresh_names(docs, "h1", "h2")
     long = docs.where(size > leaf).withColumns({h1: F.xxhash64(f"`{text}`"), h2: F.xxhash64(F.lit(1), f"`{text}`")})
 
@@ -226,7 +251,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", lea
                 nodes = [leaf_node(encoder, t) for t in part.column("part").to_pylist()]
                 edge = pa.struct([("text", pa.string()), ("places", pa.list_(pa.int32()))])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("h1"), part.column("h2"), part.column("no"), _int_lists([n.ids.tobytes() for n in nodes]),
+                    [part.column("h1"), part.column("h2"), part.column("no"),
+                     pa.array([n.ids.astype(narrow).tobytes() for n in nodes], pa.binary()),
                      pa.array([_packed(n.head) for n in nodes], edge),
                      pa.array([None if n.whole else _packed(n.tail) for n in nodes], edge), pa.array([n.whole for n in nodes])],
                     names=["h1", "h2", "no", "ids", "head", "tail", "whole"])
@@ -236,19 +262,26 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", lea
         rows = rows.sort_by("no").combine_chunks()
         nodes = []
         for k in range(len(rows)):
-            ids = rows.column("ids")[k].values.to_numpy()
+            ids = np.frombuffer(rows.column("ids")[k].as_py(), narrow).astype(np.int32)
             head = _unpacked(rows.column("head")[k], ids, False)
             whole_ = rows.column("whole")[k].as_py()
             nodes.append(Node(ids, head, head if whole_ else _unpacked(rows.column("tail")[k], ids, True), whole_))
-        ids = tree(encoder, nodes, window).ids
-        return pa.table({"h1": rows.column("h1")[:1], "h2": rows.column("h2")[:1],
-                         "ids": pa.array([ids], pa.list_(pa.int32()))})
+        ids = tree(encoder, nodes, window).ids.astype(narrow).tobytes()
+        return pa.table({"h1": rows.column("h1")[:1], "h2": rows.column("h2")[:1], "ids": pa.array([ids], pa.binary())})
 
-    nodes = parts.mapInArrow(leaves, _NODE).groupBy("h1", "h2").applyInArrow(joined, "h1 bigint, h2 bigint, ids array<int>")
+    def widened(batches):
+        decoder = Decoder(*shown.value) if decoded else None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                ids = [np.frombuffer(x, narrow).astype(np.int32) for x in part.column(len(names)).to_pylist()]
+                yield finished(part.columns[:-1], ids, decoder)
+
+    nodes = parts.mapInArrow(leaves, _NODE).groupBy("h1", "h2").applyInArrow(joined, "h1 bigint, h2 bigint, ids binary")
     g1, g2, found = fresh_names(long, "h1", "h2", "found")
     nodes = nodes.select(F.col("h1").alias(g1), F.col("h2").alias(g2), F.col("ids").alias(found))
     long = long.join(nodes, (F.col(h1) == F.col(g1)) & (F.col(h2) == F.col(g2)))
-    return short.unionAll(long.select(*[F.col(f"`{c}`") for c in names], F.col(found).alias(out)))
+    return short.unionAll(long.select(*[F.col(f"`{c}`") for c in names], found).mapInArrow(widened, schema))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -258,21 +291,14 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     vocabulary are skipped, as the library does. Null and empty lists give an empty text.
     """
     encoded = encoded.drop(out)
-    shared = encoded.sparkSession.sparkContext.broadcast(read_spec(path))
+    shown = encoded.sparkSession.sparkContext.broadcast(Decoder.read(path))  # as large as the tokenizer file
 
     def run(batches):
-        encoder = word_encoder(shared.value)
-        plain = json.loads(shared.value).get("decoder") is None
-        shown = encoder.library.get_vocab(with_added_tokens=True)
-        tokens = {k: t for t, k in shown.items()}
+        decoder = Decoder(*shown.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                lists = [v.values.to_numpy().tolist() if v.is_valid else [] for v in part.column(ids)]
-                if not plain:
-                    texts = [encoder.library.decode(x, skip_special_tokens=False) for x in lists]
-                else:
-                    texts = [" ".join([tokens[k] for k in x if k in tokens]) for x in lists]
+                texts = [decoder(v.values.to_numpy()) if v.is_valid else "" for v in part.column(ids)]
                 yield part.append_column(out, pa.array(texts, pa.string()))
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())]))

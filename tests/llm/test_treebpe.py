@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rillmark.llm import treebpe
-from rillmark.llm.treebpe import decode, encode, halves, leaf_node, read_spec, tree
-from rillmark.llm.wordbpe import word_encoder
+from rillmark.llm.treebpe import decode, encode, halves, leaf_node, tree
+from rillmark.llm.wordbpe import read_rules, word_encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
-SPEC = read_spec(PATH)
+RULES = read_rules(PATH)
 LIBRARY = Tokenizer.from_file(PATH)
 
 PARTS = ["a", "aaa", "the", "'s", "'", "''", "'re", "don't", "'ll", " ", "  ", "\n", "\t", "\x0b", "\x1c", " ", " ", "!", "!!", "_", "-", "7", "42",
@@ -29,7 +29,7 @@ def library(text):
 
 
 def by_tree(text, leaf, edge, window):
-    encoder = word_encoder(SPEC)
+    encoder = word_encoder(RULES)
     return tree(encoder, [leaf_node(encoder, t, edge) for t in halves(text, leaf)], window).ids.tolist()
 
 
@@ -59,7 +59,7 @@ def test_texts_without_white_space():
 def test_windows_stay_small_in_ordinary_text(monkeypatch):
     r = random.Random(4)
     text = " ".join("".join(r.choice(["ba", "ne", "ti", "str", "ing", "ou"]) for _ in range(r.randint(1, 5))) for _ in range(9000))
-    encoder = word_encoder(SPEC)
+    encoder = word_encoder(RULES)
     nodes = [leaf_node(encoder, t) for t in halves(text)]
     seen = []
     plain = treebpe._edge
@@ -78,7 +78,10 @@ def test_halves_are_even_and_never_cut_a_composition():
 def rows_of(spark, rows, path=PATH, **options):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string, H1 int, found int, no int, decoded int")
     df = df.withColumnRenamed("ids", "part")
-    return decode(encode(df, path, **options), path)
+    both = encode(df, path, decoded="decoded", **options)
+    again = decode(both.drop("decoded"), path)
+    assert again.columns == both.columns and sorted(map(str, again.collect())) == sorted(map(str, both.collect()))
+    return both
 
 
 @pytest.mark.parametrize("path", [PATH, BYTES])
