@@ -46,11 +46,11 @@ def words(text: Column) -> Column:
 
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_SLICE = 1 << 19  # bytes of text hashed at once; bounds a task's memory, not what it reads
+_SLICE = 1 << 17  # bytes of text hashed at once; bounds a task's memory, not what it reads
 
 
 @functools.lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^0..base^n and its inverses modulo 2^64."""
     up, down = np.full(n + 1, _BASE, np.uint64), np.full(n + 1, pow(int(_BASE), -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
@@ -100,7 +100,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | edge[1:n]
     first, last = np.flatnonzero(begins), np.flatnonzero(ends)
-    up, down = _powers(max(_SLICE, n))
+    up, down = powers(max(_SLICE, n))
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(low * up[:n], out=total[1:])
     return mix((total[last + 1] - total[first]) * down[first]), np.searchsorted(first, offsets)
