@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rillmark.functions.columns import hours_since, is_type, json_field, micros, safe_ratio
 from rillmark.operators.scale import top_per_group
+from rillmark.session import checkpointed
 
 # Fixed value: how many favourite categories a user row keeps.
 TOP_CATEGORIES = 3
@@ -24,7 +25,11 @@ def category_counts(df: DataFrame) -> DataFrame:
 
 def favorite_categories(df: DataFrame, top: int = TOP_CATEGORIES) -> DataFrame:
     """The ``top`` most frequent categories of each user, ties by name, as an array in rank order."""
-    ranked = top_per_group(category_counts(df), ["user_id"], [F.desc("n"), F.asc("category")], top)
+    return _favourites(category_counts(df), top)
+
+
+def _favourites(counts: DataFrame, top: int) -> DataFrame:
+    ranked = top_per_group(counts, ["user_id"], [F.desc("n"), F.asc("category")], top)
     # At most `top` rows per user reach the list.
     listed = F.array_sort(F.collect_list(F.struct("rank", "category")))
     return ranked.groupBy("user_id").agg(listed.alias("l")).select(
@@ -35,10 +40,11 @@ def favorite_categories(df: DataFrame, top: int = TOP_CATEGORIES) -> DataFrame:
 def user_features(df: DataFrame, top_categories: int = TOP_CATEGORIES) -> DataFrame:
     """Activity counts, mean rating, active days, favourite categories and last activity per user.
 
-    Days are counted by grouping on (user, day) first. That replaces a distinct count, combines before the shuffle and
-    spreads a very active user over its days.
+    Events are first combined by (user, day, category), which the activity and the categories are both taken from: the log is read
+    once, a distinct count of days becomes a count of groups, and a very active user is spread over days and categories.
     """
-    daily = df.groupBy("user_id", F.to_date("timestamp").alias("day")).agg(
+    category = F.when(F.col("metadata").isNotNull(), json_field("metadata", "category")).alias("category")
+    base = df.groupBy("user_id", F.to_date("timestamp").alias("day"), category).agg(
         F.count("*").alias("n"),
         F.count_if(is_type("click")).alias("clicks"),
         F.count_if(is_type("view")).alias("views"),
@@ -47,6 +53,9 @@ def user_features(df: DataFrame, top_categories: int = TOP_CATEGORIES) -> DataFr
         F.count("rating").alias("rating_n"),
         F.max("timestamp").alias("last"),
     )
+    base = checkpointed(base, "user-days")  # each branch needs other columns of it, so a plan would read the log for both
+    sums = ("n", "clicks", "views", "ratings", "rating_sum", "rating_n")
+    daily = base.groupBy("user_id", "day").agg(*[F.sum(c).alias(c) for c in sums], F.max("last").alias("last"))
     per_user = daily.groupBy("user_id").agg(
         F.sum("n").alias("total_interactions"),
         F.sum("clicks").alias("total_clicks"),
@@ -56,7 +65,8 @@ def user_features(df: DataFrame, top_categories: int = TOP_CATEGORIES) -> DataFr
         F.count("day").alias("interaction_days"),
         F.max("last").alias("last_active_timestamp"),
     )
-    return per_user.join(favorite_categories(df, top_categories), "user_id", "left")
+    liked = base.where(F.col("category").isNotNull()).groupBy("user_id", "category").agg(F.sum("n").alias("n"))
+    return per_user.join(_favourites(liked, top_categories), "user_id", "left")
 
 
 def item_features(df: DataFrame) -> DataFrame:

@@ -80,15 +80,27 @@ def long_form(df: DataFrame, columns: Sequence[str], kind: str = "double") -> Da
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows, missing, distinct values, share missing and constancy per column, in one pass of (column, value) counts."""
+    """Rows, missing, distinct values, share missing and constancy per column, in one pass of (column, value) counts.
+
+    A value stands in by 128 bits of hash and a column by its number, so that what is grouped and shuffled has a fixed, small size.
+    """
     columns = list(columns or df.columns)
-    counts = long_form(df, columns, "string").groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    return counts.groupBy("column_name").agg(
+
+    def value(i: int, name: str):
+        v = F.col(f"`{name}`")
+        return F.struct(F.lit(i).alias("i"), F.when(v.isNotNull(), F.xxhash64(v)).alias("h"),
+                        F.when(v.isNotNull(), F.xxhash64(F.lit(1), v)).alias("g"))
+
+    each = F.explode(F.array(*[value(i, c) for i, c in enumerate(columns)]))
+    counts = df.select(each.alias("s")).groupBy("s.i", "s.h", "s.g").agg(F.count("*").alias("n"))
+    per = counts.groupBy("i").agg(
         F.sum("n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
-        F.count("value").alias("distinct_values"),
-    ).withColumn("missing_share", F.col("missing") / F.col("row_count")).withColumn(
-        "constant", F.col("distinct_values") <= 1)
+        F.coalesce(F.sum(F.when(F.col("h").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+        F.count("h").alias("distinct_values"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return per.select(F.element_at(names, F.col("i") + 1).alias("column_name"), "row_count", "missing", "distinct_values",
+                      (F.col("missing") / F.col("row_count")).alias("missing_share"),
+                      (F.col("distinct_values") <= 1).alias("constant"))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

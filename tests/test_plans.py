@@ -29,3 +29,14 @@ def test_columns_are_pruned(spark, sf):
 def test_pair_features_is_one_hash_aggregation(spark, sf):
     text = plan(spark, sf, "pair_features")
     assert "SortAggregate" not in text and "Window" not in text and "Join" not in text
+
+
+def test_user_features_read_the_log_once(spark):
+    from rillmark.operators.features import user_features
+    from rillmark.schemas import EVENT
+    from rillmark.session import scratch_dir
+    path = scratch_dir(spark, "log")
+    spark.createDataFrame([("1", "u", "i", "view", None, None, '{"category": "c"}')], EVENT).write.parquet(path)
+    df = user_features(spark.read.schema(EVENT).parquet(path))
+    assert df.first().favorite_categories == ["c"]
+    assert all("user-days" in name for name in df.inputFiles())  # only what was combined in the one pass
