@@ -280,7 +280,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", lea
     nodes = parts.mapInArrow(leaves, _NODE).groupBy("h1", "h2").applyInArrow(joined, "h1 bigint, h2 bigint, ids binary")
     g1, g2, found = fresh_names(long, "h1", "h2", "found")
     nodes = nodes.select(F.col("h1").alias(g1), F.col("h2").alias(g2), F.col("ids").alias(found))
-    long = long.join(nodes, (F.col(h1) == F.col(g1)) & (F.col(h2) == F.col(g2)))
+    # always a sort-merge join: which side is small depends on the copies, and the ids are the larger part of what is shuffled
+    long = long.join(nodes.hint("merge"), (F.col(h1) == F.col(g1)) & (F.col(h2) == F.col(g2)))
     return short.unionAll(long.select(*[F.col(f"`{c}`") for c in names], found).mapInArrow(widened, schema))
 
 
