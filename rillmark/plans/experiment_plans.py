@@ -7,7 +7,8 @@ from rillmark.operators import profiles as pr
 from rillmark.operators.events import explode_served
 from rillmark.plans.event_plans import served_records, valid_events
 from rillmark.plans.registry import VIEWS, _NEEDS, query, with_views
-from rillmark.session import checkpointed
+from rillmark.session import checkpointed, scratch_dir
+from rillmark.sources import experiments as xt
 from rillmark.sources.adapters import raw_events, table
 
 # Experiments stand on the nation table, requests on the event log: every event is a request of its user, and every
@@ -116,6 +117,28 @@ def sticky_assignments(spark, root):
     return recorded(spark, root)
 
 
+# The three tables written with their checks and read back: every experiment with its recorded assignments and metric values.
+@query("experiment_tables", with_views("rec att", """
+    SELECT xp.experiment_id, name, status, CAST(traffic AS INTEGER) AS traffic_percentage, created_at,
+           (SELECT count(*) FROM rec r WHERE r.experiment_id = xp.experiment_id) AS assignments,
+           (SELECT count(*) FROM att a WHERE a.experiment_id = xp.experiment_id AND a.ts >= TIMESTAMP '2024-01-20') AS metrics
+    FROM xp"""))
+def experiment_tables(spark, root):
+    store = scratch_dir(spark, "experiments")
+    given = recorded(spark, root)
+    events = attributed(spark, root, given).select(
+        "experiment_id", "group", "timestamp", F.col("event_type").alias("metric_name"), F.lit(1.0).alias("metric_value"))
+    for kind, df in (("experiments", experiments(spark, root)), ("assignments", given), ("metrics", events)):
+        xt.write_table(df, store, kind)
+    known = xt.read_table(spark, store, "experiments")
+    sizes = xt.read_table(spark, store, "assignments").groupBy("experiment_id").agg(F.count("*").alias("assignments"))
+    values = xt.read_table(spark, store, "metrics", "2024-01-20").groupBy("experiment_id").agg(F.count("*").alias("metrics"))
+    zero = F.lit(0).cast("bigint")
+    return known.join(sizes, "experiment_id", "left").join(values, "experiment_id", "left").select(
+        "experiment_id", "name", "status", "traffic_percentage", "created_at", F.coalesce("assignments", zero).alias("assignments"),
+        F.coalesce("metrics", zero).alias("metrics"))
+
+
 @query("experiment_sizes", with_views("rec", """
     SELECT experiment_id, grp AS "group", count(*) AS sample_size FROM rec GROUP BY 1, 2"""))
 def experiment_sizes(spark, root):

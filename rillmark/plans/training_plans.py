@@ -6,15 +6,21 @@ from rillmark.operators import features as ft
 from rillmark.operators import training as tr
 from rillmark.plans.event_plans import AS_OF, order_interactions, valid_events
 from rillmark.plans.registry import query, with_views
-from rillmark.session import checkpointed
+from rillmark.schemas import ITEM_FEATURES, PAIR_FEATURES, USER_FEATURES
+from rillmark.session import scratch_dir
+from rillmark.sources.store import scan_features, write_features
 
 SEED = 42
 
 
 def feature_tables(df):
-    """Pair, user and item features, each written once and read back, as a feature store holds them."""
-    return (checkpointed(ft.pair_features(df, AS_OF), "pairs"), checkpointed(ft.user_features(df), "users"),
-            checkpointed(ft.item_features(df), "items"))
+    """Pair, user and item features, written to a feature store and read from there in their schemas."""
+    spark, root = df.sparkSession, scratch_dir(df.sparkSession, "feature-store")
+    kinds = {"interaction_features": (ft.pair_features(df, AS_OF), PAIR_FEATURES),
+             "user_features": (ft.user_features(df), USER_FEATURES), "item_features": (ft.item_features(df), ITEM_FEATURES)}
+    for kind, (table, schema) in kinds.items():
+        write_features(table.select(*schema.names), f"{root}/{kind}")
+    return tuple(scan_features(spark, root, kind, schema) for kind, (_, schema) in kinds.items())
 
 
 _H = "CAST(('0x' || substr({h}, {at}, 8)) AS BIGINT)"

@@ -46,3 +46,13 @@ STREAM_FEATURES = _struct(
     user_id=_S, item_id=_S, user_event_count_1h=_L, user_event_count_24h=_L, item_popularity_1h=_L,
     user_last_event_time=_TS, user_avg_rating=_D, window_start=_TS, window_end=_TS,
 )
+
+# Tables of the experiment service. A name is given once; a user has one assignment per experiment.
+EXPERIMENT = _struct(
+    experiment_id=_S, name=_S, description=_S, status=_S, traffic_percentage=T.IntegerType(), control_version=_S,
+    treatment_version=_S, created_at=_TS, updated_at=_TS,
+)
+
+ASSIGNMENT = _struct(user_id=_S, experiment_id=_S, group=_S, assigned_at=_TS)
+
+METRIC = _struct(experiment_id=_S, group=_S, metric_name=_S, metric_value=_D, timestamp=_TS)
