@@ -10,10 +10,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import stored
+from rillmark.llm.common import fresh_names, stored
 from rillmark.llm.components import components
 
-WORDS = 1 << 18  # 64-bit words of the bit set that marks wanted lines while texts are read again
+MOST_WORDS = 1 << 22  # 64-bit words of the bit set that marks wanted lines while texts are read again, at most
+SEEN = 100_000  # lines a task remembers, so as not to emit the keys of a repeated line again
+_PARITY = 56  # character classes of the parity filter; the bits above hold the role
 
 
 def segments(length: int, parts: int) -> list[tuple[int, int]]:
@@ -61,46 +63,51 @@ class Rule:
 def _parity(lines: list[bytes]) -> np.ndarray:
     """A bit per character class, set if the line has an odd number of them: an edit flips two at most."""
     data = np.frombuffer(b"".join(lines), np.uint8)
-    bit = np.where((data & 0xC0) != 0x80, np.uint64(1) << (data & 63).astype(np.uint64), np.uint64(0))
+    bit = np.where((data & 0xC0) != 0x80, np.uint64(1) << (data % _PARITY).astype(np.uint64), np.uint64(0))
     starts = np.cumsum([0] + [len(x) for x in lines])[:-1]
     return np.bitwise_xor.reduceat(bit, starts).view(np.int64)
 
 
 def _keys(lines: DataFrame, rule: Rule) -> DataFrame:
-    """Segment rows and probe rows of every line; a probe at a segment's own place is its segment row.
+    """Segment rows and probe rows (key, id, tag) of every line; a probe at a segment's own place is its segment row.
 
-    role is twice the edits allowed for the length that is looked up, and one more for a probe row.
+    id is the line's hash, so no text moves. The tag holds the parity, and above it the role: twice the edits allowed for the length
+    that is looked up, and one more for a probe row. A line that a task has met of late gives no rows again.
     """
     def emit(batches):
         plans: dict[int, tuple] = {}
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                texts = part.column("line").to_pylist()
+                met = dict(zip(part.column("h1").to_pylist(), part.column("line").to_pylist(), strict=True))
+                own = {h: s for h, s in met.items() if h not in seen}
+                seen = {*own} if len(seen) > SEEN else seen | own.keys()
+                if not own:
+                    continue
                 keys, roles, counts = [], [], []
-                for s in texts:
+                for s in own.values():
                     n = len(s)
                     if n not in plans:
-                        own = {(n, k, a, z) for k, (a, z) in enumerate(segments(n, rule.edits(n) + 1))}
-                        plans[n] = [(x, 2 * rule.edits(n)) for x in own]
+                        mine = {(n, k, a, z) for k, (a, z) in enumerate(segments(n, rule.edits(n) + 1))}
+                        plans[n] = [(x, 2 * rule.edits(n)) for x in mine]
                         for less in range(rule.threshold + 1):
                             edits = rule.edits(n - less)  # those of the shorter line
                             if edits >= max(1, less):
-                                plans[n] += [(x, 2 * edits + 1) for x in _probes_of(n, less, edits) if x not in own]
+                                plans[n] += [(x, 2 * edits + 1) for x in _probes_of(n, less, edits) if x not in mine]
                         if len(plans) > 1 << 13:
                             plans = {n: plans[n]}
                     for (m, k, a, z), role in plans[n]:
                         keys.append(xxhash.xxh64_intdigest(s[a:a + z].encode(), m * 16 + k))
                         roles.append(role)
                     counts.append(len(plans[n]))
-                rows = np.repeat(np.arange(len(texts)), counts)
+                parity = np.repeat(_parity([s.encode() for s in own.values()]), counts)
                 yield pa.record_batch({
-                    "key": pa.array(np.array(keys, np.uint64).view(np.int64)), "role": pa.array(roles, pa.int8()),
-                    "doc_id": part.column("doc_id").take(pa.array(rows)), "line_no": part.column("line_no").take(pa.array(rows)),
-                    "parity": pa.array(_parity([s.encode() for s in texts])[rows])})
+                    "key": pa.array(np.array(keys, np.uint64).view(np.int64)),
+                    "id": pa.array(np.repeat(np.array(list(own), np.int64), counts)),
+                    "tag": pa.array(np.array(roles, np.int64) << _PARITY | parity)})
 
-    return lines.select("doc_id", "line_no", "line").mapInArrow(
-        emit, "key bigint, role tinyint, doc_id bigint, line_no int, parity bigint")
+    return lines.select("h1", "line").mapInArrow(emit, "key bigint, id bigint, tag bigint")
 
 
 def banded_distances(a: list[str], b: list[str], threshold: int) -> np.ndarray:
@@ -170,40 +177,47 @@ def split_lines(docs: DataFrame) -> DataFrame:
 
 
 def _marked(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Lines that may be among ``wanted`` (doc_id, line_no), by a bit set of WORDS words (broadcast: 4 MB at most).
+    """Lines that may be among ``wanted`` (h1), by a broadcast bit set of 16 bits for each, up to MOST_WORDS words.
 
     It only keeps texts of other lines out of the shuffle that follows; lines it lets through by chance are joined away.
     """
-    place = F.xxhash64("doc_id", "line_no")
-    word, bit = F.pmod(place, F.lit(WORDS)), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(
-        F.shiftright(place, 32), F.lit(64)).cast("int"))
+    words = 1 << max(10, min(MOST_WORDS.bit_length() - 1, (wanted.count() // 4).bit_length()))
+    word, bit = F.pmod("h1", F.lit(words)), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(
+        F.shiftright("h1", 40), F.lit(64)).cast("int"))
     bits = wanted.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
     return lines.join(F.broadcast(bits), word == F.col("_word")).where(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
 
 
 def line_links(lines: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) between the first lines of classes, a and b as struct(doc_id, line_no), a < b, each pair once."""
-    # one join on the whole key: another one on part of it would shuffle the texts twice
-    first = lines.where(F.length("line") >= rule.least).join(
-        classes.select("doc_id", "line_no", "h1", "h2"), ["doc_id", "line_no", "h1", "h2"], "left_semi")
-    keys = _keys(first, rule)
-    x, y = keys.where("role % 2 = 0").alias("x"), keys.alias("y")
-    a, b = (F.struct(F.col(f"{s}.doc_id").alias("doc_id"), F.col(f"{s}.line_no").alias("line_no")) for s in "xy")
-    near = F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= F.col("x.role")
+    # one exchange for both sides of the join; a line that several tasks have met becomes one row, its segment row if it has one
+    keys = _keys(lines.where(F.length("line") >= rule.least), rule).repartition("key").groupBy("key", "id").agg(F.min("tag").alias("tag"))
+    x, y = keys.alias("x"), keys.alias("y")
+    role = F.shiftright("x.tag", _PARITY)
+    low = F.lit((1 << _PARITY) - 1)
+    near = F.bit_count(F.col("x.tag").bitwiseXOR(F.col("y.tag")).bitwiseAND(low)) <= role
+    probe = F.shiftright("y.tag", _PARITY) % 2 == 1
+    a, b = F.col("x.id"), F.col("y.id")
     # two segment rows meet twice, once from each side; a probe row meets a segment row once
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & near & (a != b) & ((F.col("y.role") % 2 == 1) | (a < b)))
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (role % 2 == 0) & near & (a != b) & (probe | (a < b)))
     pairs = stored(met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "line-candidates")
-    ends = pairs.select(F.col("a").alias("e")).union(pairs.select("b")).distinct().select("e.*")
-    texts = _marked(lines, ends).join(ends, ["doc_id", "line_no"], "left_semi").select(
-        F.struct("doc_id", "line_no").alias("e"), "line").distinct()
+    ends = stored(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), "candidate-ends")
+    texts = _marked(lines, ends).join(ends, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
     texts = stored(texts, "candidate-lines")
-    both = pairs.join(texts.select(F.col("e").alias("a"), F.col("line").alias("ta")), "a").join(
-        texts.select(F.col("e").alias("b"), F.col("line").alias("tb")), "b")
+    # by the first hash there may be two lines, which are both verified
+    both = pairs.join(texts.select(F.col("h1").alias("a"), F.struct("h1", "h2").alias("ha"), F.col("line").alias("ta")), "a").join(
+        texts.select(F.col("h1").alias("b"), F.struct("h1", "h2").alias("hb"), F.col("line").alias("tb")), "b")
     # the shorter text first, as the probes look for it
     swap = F.length("ta") > F.length("tb")
-    both = both.select("a", "b", F.when(swap, F.col("tb")).otherwise(F.col("ta")).alias("ta"),
+    both = both.select(F.col("ha").alias("a"), F.col("hb").alias("b"), F.when(swap, F.col("tb")).otherwise(F.col("ta")).alias("ta"),
                        F.when(swap, F.col("ta")).otherwise(F.col("tb")).alias("tb"))
-    return _within(both, rule).distinct()
+    links = stored(_within(both, rule).distinct(), "hash-links")
+    linked = links.select("a.*").union(links.select("b.*")).distinct()
+    places = stored(classes.join(linked, ["h1", "h2"], "left_semi").select(
+        F.struct("h1", "h2").alias("h"), F.struct("doc_id", "line_no").alias("p")), "linked-classes")
+    named = links.join(places.select(F.col("h").alias("a"), F.col("p").alias("p")), "a").join(
+        places.select(F.col("h").alias("b"), F.col("p").alias("q")), "b")
+    return named.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
 def line_classes(docs: DataFrame, threshold: int = 2, least: int = 8, full: int = 12) -> DataFrame:
@@ -216,10 +230,11 @@ def line_classes(docs: DataFrame, threshold: int = 2, least: int = 8, full: int
     distinct texts within the threshold.
 
     1. Equal lines are grouped by a 128-bit hash with a partial minimum: groups of copies of any size cost no pairs.
-    2. The first line of each group is cut into one segment more than its edits; of two lines within the threshold one has a segment
+    2. Every line is cut into one segment more than its edits; of two lines within the threshold one has a segment
        of the other near its place. Segments are joined with the substrings of lines that are as long or up to threshold
-       longer (an equi-join that Spark can split for skew), filtered by the parity of their characters in the join.
-    3. Each pair met is verified once by a banded bit-parallel distance. No pair within the edits allowed is left out.
+       longer, by hashes: no text moves. Lines stand in by their hash and are told apart once per key; the parity of their
+       characters filters in the join.
+    3. The texts of the lines that have met another are fetched, and each pair is verified once by a banded bit-parallel distance. No pair within the edits allowed is left out.
 
     Null and empty texts and lines without a word have no rows; a null doc_id has none either. Rows that repeat a doc_id
     share their line numbers and fate: the row of a (doc_id, line_no) with two texts comes once per text. Other
@@ -254,11 +269,12 @@ def without_repeated_lines(docs: DataFrame, threshold: int = 2, least: int = 8,
     A document that has lost every line with a word goes; one that had none (null, empty, blank) stays as it is, as does
     a row with a null doc_id. n_chars, where there is one, is counted anew.
     """
+    ident, drop = fresh_names(docs, "ident", "drop")
     dropped = line_classes(docs, threshold, least, full).where("NOT kept").select("doc_id", "line_no").distinct()
-    dropped = dropped.groupBy("doc_id").agg(F.collect_list("line_no").alias("_drop")).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(dropped, F.col("doc_id") == F.col("_id"), "left").withColumn("text", _kept_text(F.col("_drop")))
-    kept = joined.where(F.col("_drop").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    dropped = dropped.groupBy(F.col("doc_id").alias(ident)).agg(F.collect_list("line_no").alias(drop))
+    joined = docs.join(dropped, F.col("doc_id") == F.col(ident), "left").withColumn("text", _kept_text(F.col(drop)))
+    kept = joined.where(F.col(drop).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("_drop").isNull(), F.col("n_chars")).otherwise(
+        kept = kept.withColumn("n_chars", F.when(F.col(drop).isNull(), F.col("n_chars")).otherwise(
             F.length("text").cast(docs.schema["n_chars"].dataType)))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
