@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import stored
+from rillmark.llm.common import mix, stored
 from rillmark.operators.scale import top_per_group
 
 BLOCK = 192  # nodes that are compared with each other at once while the graph is begun
@@ -71,11 +71,12 @@ def _best(ids: np.ndarray, sims: np.ndarray, most: int):
 
 
 def _first_lists(nodes: DataFrame, k: int, count: int, rounds: int, seed: int) -> DataFrame:
-    """Neighbours (node, other, sim) within blocks of nodes on one side of random planes; the first round's blocks are random.
+    """Neighbours (node, other, sim) within blocks of nodes on one side of random planes; the first round's blocks are drawn by hash.
 
     A block that equal signs would make too large is split by a hash, so no block grows with the data.
     """
     bits = max(0, int(np.ceil(np.log2(max(1, count) / BLOCK))))
+    drawn = np.uint64(max(1, -(-count // BLOCK)))
     compact = nodes.select("node", "code")
 
     def place(batches):
@@ -89,7 +90,7 @@ def _first_lists(nodes: DataFrame, k: int, count: int, rounds: int, seed: int) -
                     sign = (x @ rng.standard_normal((x.shape[1], bits)).astype(np.float32)) > 0
                     cell = sign @ (1 << np.arange(bits))
                 else:
-                    cell = np.zeros(len(ids), np.int64)
+                    cell = mix(ids.astype(np.int64).view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 * (seed + r + 1) & (1 << 64) - 1)) % drawn
                 yield pa.record_batch({"round": pa.array(np.full(len(ids), r, np.int32)), "cell": pa.array(cell.astype(np.int64)),
                                        "node": batch.column("node"), "code": batch.column("code")})
 
@@ -156,14 +157,17 @@ def _descend(lists: DataFrame, nodes: DataFrame, k: int, back: int, emitted: int
     return _merged(offers.withColumn("fresh", F.lit(True)).unionByName(seen), k)
 
 
-def build(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = 16, back: int = 14, rounds: int = 6,
+def build(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = 16, back: int = 14, rounds: int = 30,
           begin: int = 5, emitted: int = 3, seed: int = 7) -> Index:
     """Index of all vectors by inner product: a graph with ``k`` neighbours each, made by NN-descent.
 
     Equal vectors are one node, so a very common vector fills no list with its copies. The lists begin with neighbours from
-    random blocks; each of up to ``rounds`` rounds joins every list (with at most ``back`` of the nodes that name it) to the
+    random blocks; each round joins every list (with at most ``back`` of the nodes that name it) to the
     vectors and compares the neighbours of each node, where one of the two is new. It ends when under one list entry in
-    a hundred is new. Work goes by blocks of nodes; a list is bounded by k + back, so no task holds a hub's followers.
+    a hundred is new (after ``rounds`` at the latest, which a graph of any size stays well below). Work goes by blocks of nodes; a list is bounded by k + back, so no task holds a hub's followers.
+
+    Vectors that are null, zero, or hold null or non-finite components are left out, as are those of another length than the
+    commonest (of equally common lengths the smaller), which have no inner product with the others; queries alike.
     """
     own = _valid(vectors, key, column)
     size = own.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
