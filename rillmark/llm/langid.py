@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -114,13 +115,14 @@ def fit(labelled: DataFrame, lang: str = "lang") -> Model:
     return Model(langs, counts)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """Add lang_pred, score (0 to 1) and ambiguous (boolean) to every row; columns of those names are replaced.
+def identify(docs: DataFrame, model: Model, names: Sequence[str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """Add the predicted language, score (0 to 1) and ambiguous (boolean) to every row, under ``names``; columns so named are replaced.
 
     Null texts and texts without a letter are ``und`` with score 0 and not ambiguous, as is everything if no language was
     learned. Whole texts are read; the outputs are means over all n-grams, so length does not matter.
     """
-    docs = docs.drop("lang_pred", "score", "ambiguous")
+    docs = docs.drop(*names)
+    lang, score_name, vague_name = names
     shared = docs.sparkSession.sparkContext.broadcast(model)  # CELLS numbers per code bit
 
     def run(batches):
@@ -137,16 +139,16 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                             outputs[first + k] = np.bincount(cells, minlength=CELLS) @ m.weights / len(cells)
             if m.langs:
                 best, score, vague = m.decode(outputs)
-                names = [m.langs[k] for k in best]
+                found = [m.langs[k] for k in best]
             else:
-                names, score, vague = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
-            yield (batch.append_column("lang_pred", pa.array(names, pa.string()))
-                   .append_column("score", pa.array(score, pa.float64())).append_column("ambiguous", pa.array(vague)))
+                found, score, vague = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
+            yield (batch.append_column(lang, pa.array(found, pa.string()))
+                   .append_column(score_name, pa.array(score, pa.float64())).append_column(vague_name, pa.array(vague)))
 
-    extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-             T.StructField("ambiguous", T.BooleanType())]
+    extra = [T.StructField(lang, T.StringType()), T.StructField(score_name, T.DoubleType()),
+             T.StructField(vague_name, T.BooleanType())]
     out = docs.mapInArrow(run, T.StructType(docs.schema.fields + extra))
     known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)) & F.lit(bool(model.langs))
-    return out.withColumns({"lang_pred": F.when(known, F.col("lang_pred")).otherwise(UNKNOWN),
-                            "score": F.when(known, F.col("score")).otherwise(0.0),
-                            "ambiguous": known & F.col("ambiguous")})
+    return out.withColumns({lang: F.when(known, F.col(lang)).otherwise(UNKNOWN),
+                            score_name: F.when(known, F.col(score_name)).otherwise(0.0),
+                            vague_name: known & F.col(vague_name)})
