@@ -1,5 +1,7 @@
 import collections
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from rillmark.llm import langid
 from .test_jaccard import brute as near
@@ -44,6 +46,35 @@ def test_stages_keep_clean_documents(spark, docs_of):
     assert one == {i for i, _, c in near([(i, t) for i, t, _, _ in clean] + [(102, clean[3][1] + " z")], 5, 80) if i == c}
 
 
+NAMES = ("score", "ambiguous", "lang_pred", "_id", "_drop", "_size", "_lot", "_plan", "_times", "ident", "drop", "doc", "hash", "number",
+         "first", "place", "ends", "h1", "ids_")
+
+
+def test_columns_of_any_name_pass_through_every_stage(spark, docs_of):
+    words = "the cat and a dog went over to see what was in that box of theirs today".split()
+    rows = [(i, "\n".join(" ".join(words[(i * k * k + 3 * i + k + j) % 16] + "xy"[:(i + k) % 3] for k in range(14)) for j in range(3)), "en", "a")
+            for i in range(40)]
+    docs = docs_of(rows + [(50, rows[0][1], "en", "a")]).withColumns({c: F.col("doc_id") * 2 for c in NAMES})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stored(stage(spark, docs, ""), f"names-{name}")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *NAMES]
+        wrong = " OR ".join(f"NOT (`{c}` <=> doc_id * 2)" for c in NAMES)
+        assert docs.count() > 5 and docs.where(wrong).count() == 0
+
+
+def test_repeated_and_null_ids(spark, docs_of):
+    words = [f"word{k}" for k in range(60)]
+    texts = [" ".join(words[k:k + 12]) for k in range(0, 60, 12)]
+    rows = [(k, t, "en", "a") for k, t in enumerate(texts)] * 2 + [(None, texts[0], "en", "a")] * 2 + [(None, None, "en", "a")] * 2
+    rows += [(0, "another text under the same number as one before it", "en", "a")]
+    out = [(r.doc_id, r.text) for r in run_stage(spark, "near_copies", docs_of(rows)).collect()]
+    assert sorted(out, key=repr) == sorted({(i, t) for i, t, _, _ in rows}, key=repr)  # one row of each document
+    docs = docs_of(rows)
+    for name in ("language", "repeated_lines", "mixture"):
+        got = run_stage(spark, name, docs).collect()
+        assert {(r.doc_id, r.text) for r in got} <= {(i, t) for i, t, _, _ in rows}
+
+
 def test_empty_tables(spark, docs_of):
     docs = docs_of([])
     for _, stage in corpus_pipeline.STAGES:
