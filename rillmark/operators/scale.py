@@ -168,8 +168,8 @@ def value_pieces(df: DataFrame, value: str, out: str, rows: int = 0) -> DataFram
     once and become constants of the plan, so that every use places a row alike.
     """
     pieces = min(MOST_PIECES, -(-df.count() // (rows or ROWS)))
-    if pieces <= 1:
-        return df.withColumn(out, F.lit(0))
+    if pieces <= 1:  # not a literal: a join on a constant would lose its key
+        return df.withColumn(out, F.pmod(F.xxhash64(value), F.lit(1)).cast("int"))
     return df.withColumn(out, piece_of(F.array(*[F.lit(float(e)) for e in _edges(df, value, pieces)]), F.col(value).cast("double")))
 
 
