@@ -116,7 +116,7 @@ def test_drift_fires_the_retrain_rule(spark, tables):
                              "timestamp": F.lit("2024-01-01").cast("timestamp")}) for p in (parts[0], parts[4])]
     root = scratch_dir(spark, "online")
     factors = spark.createDataFrame([("i", [1.0, 0.0])], "item_id string, features array<double>")
-    monitor = sinks.DriftMonitor(dc.drift_reference(ref, ["x", "y"]), ("x", "y"), f"{root}/drift", batches=1)
+    monitor = sinks.DriftMonitor(dc.drift_reference(ref, ["y"]), ("y",), f"{root}/drift", batches=1)
     handle = sinks.online_update(root, factors, "2024-01-01", rule=RetrainRule(10 ** 9, 0.2, 1e9), monitor=monitor)
     for b, e in enumerate(events):
         handle(e, b)
