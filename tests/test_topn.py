@@ -51,6 +51,16 @@ def test_equal_norms_ties_and_copies(spark):
     assert {u: [i for i, _ in v] for u, v in lists(top).items()} == {u: [i for i, _ in v] for u, v in want.items()}
 
 
+def test_small_blocks_send_no_more_vectors(spark):
+    r = np.random.default_rng(4)
+    x, y = r.standard_normal((900, 4)), r.standard_normal((1200, 4))
+    y /= np.linalg.norm(y, axis=1)[:, None]  # no block can be left out
+    top = top_items(frame(spark, "user", x), frame(spark, "item", y), 5, size=16)
+    got = {u: [i for i, _ in v] for u, v in lists(top).items()}
+    assert got == {u: [i for i, _ in v] for u, v in brute(x, y, 5).items()}
+    assert sum(q["sent"] for q in top.rounds) < 0.3 * 2 * top.compared / 16  # a user or an item for each 16 pairs, as by teams of 16
+
+
 def test_few_items_none_and_nulls(spark):
     x, y = np.eye(3), np.ones((2, 3))
     assert {u: len(v) for u, v in lists(top_items(frame(spark, "user", x), frame(spark, "item", y), 100)).items()} == {
