@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +29,26 @@ def test_negatives_are_new_distinct_and_complete(pairs, ratio):
     assert {r.user_id: r["count"] for r in neg.groupBy("user_id").count().collect()} == {u: c for u, c in want.items() if c}
 
 
+def test_negatives_follow_the_permutation_without_a_shuffle_of_places(spark, pairs, monkeypatch):
+    odd = spark.createDataFrame([(None, "i1"), ("v", None), ("v", "i2"), ("hot", "i0")], "user_id string, item_id string")
+    pairs = pairs.unionByName(odd)
+    by, ids = {}, sorted({r.item_id for r in pairs.collect()} - {None}, key=lambda i: hashlib.sha256(i.encode()).hexdigest())
+    for r in pairs.distinct().collect():
+        by.setdefault(r.user_id, set()).add(r.item_id)
+    del by[None]
+    want = []
+    for user, seen in by.items():
+        key, n = hashlib.sha256(f"{user}:42".encode()).hexdigest(), len(ids)
+        step, start = tr.STEPS[int(key[:8], 16) % len(tr.STEPS)], int(key[8:16], 16)
+        left = [i for i in (ids[(place * step + start) % n] for place in range(n)) if i not in seen]
+        want += [(user, i) for i in left[:4 * len(seen)]]
+    for places in (tr.SLICE, 8):
+        monkeypatch.setattr(tr, "SLICE", places)
+        neg = tr.sample_negatives(pairs)
+        assert rows(neg) == sorted(want, key=repr)
+    assert "LeftAnti" not in neg._jdf.queryExecution().toString()
+
+
 def test_steps_are_prime_and_below_two_to_the_31():
     for p in tr.STEPS:
         assert p < 2**31 and all(p % d for d in range(2, int(p**0.5) + 1))
