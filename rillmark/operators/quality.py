@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.operators import scale
-from rillmark.operators.scale import running_total
 from rillmark.session import checkpointed
 
 # Smallest share a bin is given in the population stability index. Fixed value.
@@ -121,18 +120,18 @@ def drift(
     counts = mark.groupBy("column_name", "value").agg(F.sum("_r").alias("r"), F.sum(1 - F.col("_r")).alias("c"))
     counts = checkpointed(counts, "drift-counts")  # read for the cuts, both running totals and the bins
     filled = counts.where(F.col("value").isNotNull())
-    # value ranges of about ROWS distinct values, whose running totals are taken apart
+    # Value ranges of about ROWS distinct values, whose running totals are taken apart. A value is placed once, by Spark's range
+    # partitioning, and its range is stored; no row is compared with the cuts one by one.
     pieces = max(1, min(scale.MOST_PIECES, -(-filled.count() // scale.ROWS)))
-    steps = [i / pieces for i in range(1, pieces)] or [0.5]
-    # One row per listed column: the number of columns bounds every broadcast here. Approximate cuts may differ when they are
-    # computed again, so they are stored and both uses below see the same ones.
-    stats = checkpointed(filled.groupBy("column_name").agg(
-        F.percentile_approx("value", F.array(*[F.lit(x) for x in steps]), F.lit(max(2000, 8 * pieces))).alias("_cuts"),
-        F.sum("r").alias("rn"), F.sum("c").alias("cn")), "drift-cuts")
-    placed = filled.join(F.broadcast(stats), "column_name").withColumn(
-        "_b", F.size(F.filter("_cuts", lambda e: e < F.col("value")))).drop("_cuts")
-    placed = running_total(placed, ["column_name"], "_b", ["value"], F.col("r"), "ru")
-    placed = running_total(placed, ["column_name"], "_b", ["value"], F.col("c"), "cu")
+    placed = checkpointed(filled.repartitionByRange(pieces, "column_name", "value").withColumn("_b", F.spark_partition_id()), "drift-ranges")
+    upto = Window.partitionBy("column_name", "_b").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("column_name").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    whole = Window.partitionBy("column_name")
+    sums = placed.groupBy("column_name", "_b").agg(F.sum("r").alias("_r"), F.sum("c").alias("_c")).select(
+        "column_name", "_b", F.sum("_r").over(whole).alias("rn"), F.sum("_c").over(whole).alias("cn"),
+        F.coalesce(F.sum("_r").over(before), F.lit(0)).alias("_r"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_c"))
+    placed = placed.join(sums, ["column_name", "_b"]).withColumns({
+        "ru": F.sum("r").over(upto) + F.col("_r"), "cu": F.sum("c").over(upto) + F.col("_c")})
     firsts = []
     for i in range(1, bins):
         at = F.lit(i / bins) * (F.col("rn") - 1)

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,16 @@ def test_partial_updates_and_preferences(spark):
     prefs = spark.createDataFrame([("u", {"a": "1", "b": "2"}, 1), ("u", {"a": "3"}, 2)],
                                   "user_id string, preferences map<string,string>, timestamp int")
     assert pr.preference_maps(pr.merge_preferences(prefs)).first().preferences == {"a": "3", "b": "2"}
+
+
+def test_drift_places_values_by_range_partitions(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    x, y = np.round(r.standard_normal(900), 2), np.round(r.standard_normal(700) + 0.3, 2)
+    a, b = (spark.createDataFrame([(float(v),) for v in w], "x double") for w in (x, y))
+    whole = dq.drift(a, b, ["x"]).first()
+    monkeypatch.setattr(dq.scale, "ROWS", 40)
+    # no list of cuts that grows with the table and is met by every value
+    monkeypatch.setattr(dq.F, "percentile_approx", None)
+    got = dq.drift(a, b, ["x"]).first()
+    want = max(abs((x <= v).mean() - (y <= v).mean()) for v in [*x, *y])
+    assert got.ks == pytest.approx(want) and got.psi == pytest.approx(whole.psi) and got.drifted == whole.drifted
