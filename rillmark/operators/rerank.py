@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rillmark.functions.columns import dot, id_prefix, jaccard
+from rillmark.functions.columns import dot, id_prefix
 from rillmark.operators.scale import running_total, salted_join, top_per_group, value_pieces
 
 # Fixed values of the dampening rule: percentile bounds (exclusive) and the percentile of unknown items.
@@ -41,9 +46,86 @@ def normalised(df: DataFrame) -> DataFrame:
     return salted_join(df, best, "user_id").withColumn("relevance", F.col("score") / top).drop("_m")
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body``."""
-    return F.transform(F.array(value), body)[0]
+def _whole_users(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole users (the first column), from batches that come sorted by user."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and held[-1].column(0)[-1].as_py() != batch.column(0)[0].as_py():
+            yield pa.Table.from_batches(held)
+            held = []
+        last = int(_starts(_codes(batch.column(0)))[-1])
+        if last:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _codes(values: pa.Array) -> np.ndarray:
+    """A number for every distinct value, null included."""
+    return values.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _starts(codes: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+
+
+def _greedy(rows: pa.Table, k: int, lam: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The greedy choice of all users of a table at once (user_id, item_id, score, cats, in order): the first row of the user, the
+    row picked (-1: none has a score) and the rank of every pick.
+
+    The picked item leaves its user's rows by its id. Rows without a score are never picked; once only such rows are left, the list
+    ends with an empty pick. A null id equals none and ends the list.
+    """
+    user, item, score, cats = (rows.column(c).combine_chunks() for c in range(4))
+    starts = _starts(_codes(user))
+    seg = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rows))))
+    known = score.is_valid().to_numpy(zero_copy_only=False)
+    points = score.fill_null(-np.inf).to_numpy(zero_copy_only=False)
+    top = np.maximum.reduceat(points, starts)
+    top = np.where((top > 0) | np.isnan(top), top, 1.0)
+    with np.errstate(invalid="ignore", over="ignore"):
+        relevance = lam * (points / top[seg])
+    named, ids = item.is_valid().to_numpy(zero_copy_only=False), _codes(item)
+    flat = cats.flatten()
+    size = cats.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    row, first = np.repeat(np.arange(len(rows)), size), np.cumsum(size) - size
+    key = seg[row] * (len(flat) + 1) + _codes(flat)
+
+    sim, alive = np.zeros(len(rows)), np.ones(len(rows), bool)
+    users, picks, ranks = [], [], []
+    for rank in range(1, k + 1):
+        left = np.unique(seg[alive])
+        if not len(left):
+            break
+        open_ = np.flatnonzero(alive & known)
+        best = np.full(len(starts), -1)
+        if len(open_):
+            with np.errstate(invalid="ignore"):
+                value = relevance[open_] - (1.0 - lam) * sim[open_]
+            begin = _starts(seg[open_])
+            most = np.repeat(np.maximum.reduceat(value, begin), np.diff(np.append(begin, len(open_))))
+            # The first row with the largest value: rows are sorted by score and id, which settles ties.
+            hits = open_[(value == most) | (np.isnan(value) & np.isnan(most))]
+            hits = hits[_starts(seg[hits])]
+            best[seg[hits]] = hits
+        users.append(starts[left])
+        picks.append(best[left])
+        ranks.append(np.full(len(left), rank))
+        ends = (best < 0) | ~named[best]
+        alive &= named & ~ends[seg] & (ids != ids[best][seg])
+        chosen = best[best >= 0]
+        held = np.sort(key[np.repeat(first[chosen] - np.cumsum(size[chosen]) + size[chosen], size[chosen])
+                           + np.arange(int(size[chosen].sum()))])
+        if len(held):
+            at = np.minimum(np.searchsorted(held, key), len(held) - 1)
+            shared = np.bincount(row[held[at] == key], minlength=len(rows))
+            union = size + size[best][seg] - shared
+            sim = np.maximum(sim, np.where(shared > 0, shared / np.maximum(union, 1), 0.0))
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (users, picks, ranks))
 
 
 def mmr(df: DataFrame, k: int = 10, lam: float = 0.7) -> DataFrame:
@@ -51,39 +133,25 @@ def mmr(df: DataFrame, k: int = 10, lam: float = 0.7) -> DataFrame:
 
     Input: user_id, item_id, score, categories. Of items with equal category sets only the ``k`` best can ever be
     picked, so the others are dropped first (exact, and done before the shuffle). What is left per user is bounded by k
-    times the number of distinct category sets. The greedy choice then runs inside one array expression.
+    times the number of distinct category sets. Spark brings each user's rows together in order; the greedy choice then runs
+    over Arrow batches, for all users of a batch at once.
     """
     cats = F.array_sort(F.array_distinct(F.coalesce("categories", F.array().cast("array<string>"))))
     rows = df.select("user_id", "item_id", F.col("score").cast("double").alias("score"), cats.alias("cats"))
     kept = top_per_group(rows, ["user_id", "cats"], [F.desc("score"), F.asc("item_id")], k, "_r").drop("_r")
-    item = F.struct((-F.col("score")).alias("neg"), "item_id", "score", "cats", F.lit(0.0).alias("sim"))
-    lists = kept.groupBy("user_id").agg(
-        F.array_sort(F.collect_list(item)).alias("rest"), F.max("score").alias("_m")
-    ).withColumn("_m", F.when(F.col("_m") > 0, F.col("_m")).otherwise(F.lit(1.0)))
-
-    def value(x: Column) -> Column:
-        return F.lit(lam) * (x["score"] / F.col("_m")) - F.lit(1.0 - lam) * x["sim"]
-
-    def step(state: Column, _i: Column) -> Column:
-        def pick(values: Column) -> Column:
-            def keep(at: Column) -> Column:
-                best = F.element_at(state["rest"], at)
-                left = F.filter(state["rest"], lambda x: x["item_id"] != best["item_id"])
-                seen = F.transform(left, lambda x: x.withField(
-                    "sim", F.greatest(x["sim"], jaccard(x["cats"], best["cats"]))))
-                return F.struct(
-                    F.concat(state["picked"], F.array(F.struct(best["item_id"].alias("item_id"), best["score"].alias("score"))))
-                    .alias("picked"),
-                    seen.alias("rest"))
-            # First place of the largest value: the list is sorted by score and id, which settles ties.
-            return _let(F.array_position(values, F.array_max(values)).cast("int"), keep)
-        return F.when(F.size(state["rest"]) == 0, state).otherwise(_let(F.transform(state["rest"], value), pick))
-
-    none = F.array().cast("array<struct<item_id:string,score:double>>")
-    start = F.struct(none.alias("picked"), F.col("rest").alias("rest"))
-    chosen = F.aggregate(F.sequence(F.lit(1), F.lit(k)), start, step, lambda s: s["picked"])
-    return lists.select("user_id", F.posexplode(chosen).alias("pos", "p")).select(
-        "user_id", "p.item_id", "p.score", (F.col("pos") + 1).alias("rank"))
+    lists = kept.repartition("user_id").sortWithinPartitions("user_id", (-F.col("score")).asc_nulls_first(), "item_id", "cats")
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_users(batches):
+            users, picks, ranks = _greedy(part, k, lam)
+            picked = pa.array(picks, mask=picks < 0)
+            yield from pa.table({"user_id": part.column("user_id").take(pa.array(users)),
+                                 "item_id": part.column("item_id").take(picked), "score": part.column("score").take(picked),
+                                 "rank": pa.array(ranks, pa.int32())}).combine_chunks().to_batches()
+
+    out = T.StructType([lists.schema["user_id"], T.StructField("item_id", T.StringType()), T.StructField("score", T.DoubleType()),
+                        T.StructField("rank", T.IntegerType())])
+    return lists.withColumn("item_id", F.col("item_id").cast("string")).mapInArrow(choose, out)
 
 
 def rerank(df: DataFrame, k: int = 10, lam: float = 0.7) -> DataFrame:
