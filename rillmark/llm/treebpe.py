@@ -87,14 +87,26 @@ def _edge(encoder: WordEncoder, text: str) -> Edge:
     return Edge(text, np.array(coded.ids, np.int32), places[:, 0], places[:, 1])
 
 
+def leaf_nodes(encoder: WordEncoder, texts: list[str], edge: int = EDGE) -> list[Node]:
+    """Leaves, each encoded on its own; their whole texts go to the encoder together, which looks up the pieces of a run at once."""
+    spans = []
+    for text in texts:
+        end = min((k for k in (text.find(c, edge) for c in _SPACE) if k >= 0), default=len(text))
+        spans.append((max(text.rfind(c, 0, max(0, len(text) - edge)) for c in _SPACE), end))
+    found = iter(encoder.batch([t for t, (start, end) in zip(texts, spans, strict=True) if start >= end]))
+    nodes = []
+    for text, (start, end) in zip(texts, spans, strict=True):
+        if start < end:
+            one = _edge(encoder, text)
+            nodes.append(Node(one.ids, one, one, True))
+        else:
+            nodes.append(Node(next(found), _edge(encoder, text[:end]), _edge(encoder, text[start:]), False))
+    return nodes
+
+
 def leaf_node(encoder: WordEncoder, text: str, edge: int = EDGE) -> Node:
-    """A leaf, encoded on its own."""
-    end = min((k for k in (text.find(c, edge) for c in _SPACE) if k >= 0), default=len(text))
-    start = max(text.rfind(c, 0, max(0, len(text) - edge)) for c in _SPACE)
-    if start < end:
-        one = _edge(encoder, text)
-        return Node(one.ids, one, one, True)
-    return Node(encoder.batch([text])[0], _edge(encoder, text[:end]), _edge(encoder, text[start:]), False)
+    """A single leaf."""
+    return leaf_nodes(encoder, [text], edge)[0]
 
 
 def _common(edge: Edge, window: Edge, shift: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,6 +133,8 @@ def join(encoder: WordEncoder, left: Node, right: Node, window: int = WINDOW) ->
     a, b = left.tail, right.head
     guard = max([4, *(len(m) + 1 for m in encoder.marks)])
     size, n = window, len(a.text)
+    while size <= 2 * guard:  # a smaller window has no token between its guards
+        size *= 2
     while True:
         begin, end = _seam(a.text, max(0, n - size), -1), _seam(b.text, min(len(b.text), size), 1)
         w = _edge(encoder, a.text[begin:] + b.text[:end])
@@ -248,7 +262,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", lea
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                nodes = [leaf_node(encoder, t) for t in part.column("part").to_pylist()]
+                nodes = leaf_nodes(encoder, part.column("part").to_pylist())
                 edge = pa.struct([("text", pa.string()), ("places", pa.list_(pa.int32()))])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("h1"), part.column("h2"), part.column("no"),

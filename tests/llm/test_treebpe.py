@@ -68,6 +68,24 @@ def test_windows_stay_small_in_ordinary_text(monkeypatch):
     assert len(seen) < 3 * len(nodes) and max(seen) <= 16 * treebpe.WINDOW
 
 
+def test_leaves_go_to_the_encoder_together_and_most_seams_need_one_window(monkeypatch):
+    r = random.Random(5)
+    text = " ".join("".join(r.choice(["ba", "ne", "ti", "str", "ing", "ou"]) for _ in range(r.randint(1, 5))) for _ in range(6000))
+    parts = [*halves(text, 1024), "short one", "x" * 300]
+    encoder = word_encoder(RULES)
+    alone = [leaf_node(encoder, t) for t in parts]
+    calls, plain = [], encoder.batch
+    monkeypatch.setattr(encoder, "batch", lambda texts: calls.append(len(texts)) or plain(texts))
+    nodes = treebpe.leaf_nodes(encoder, parts)
+    assert calls == [len(parts) - 2]
+    assert [(n.ids.tolist(), n.head.text, n.tail.text, n.whole) for n in nodes] == [
+        (n.ids.tolist(), n.head.text, n.tail.text, n.whole) for n in alone]
+    seen, edge = [], treebpe._edge
+    monkeypatch.setattr(treebpe, "_edge", lambda e, t: seen.append(len(t)) or edge(e, t))
+    assert tree(encoder, nodes[:-2]).ids.tolist() == library(text)
+    assert len(seen) < 1.5 * (len(nodes) - 3)
+
+
 def test_halves_are_even_and_never_cut_a_composition():
     assert halves("", 5) == [""] and halves("abc", 5) == ["abc"]
     assert halves("é" * 4, 2) == ["é"] * 4
