@@ -60,8 +60,7 @@ def stream_hourly_pairs(spark, root):
 @query("stream_user_sliding_24h", ORACLES["user_sliding_24h"])
 def stream_user_sliding_24h(spark, root):
     path = _finish(sinks.start_feature_query, spark, "sliding", lambda s: flows.sliding_user_stream(valid_stream(s, root)))
-    return sinks.read_latest(spark, path, ["user_id", "window_start"]).withColumn(
-        "avg_rating", F.round("avg_rating", 6))
+    return read_batches(spark, path, flows.sliding_windows()).withColumn("avg_rating", F.round("avg_rating", 6))
 
 
 @query("stream_item_hourly", ORACLES["item_hourly"])

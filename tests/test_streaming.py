@@ -10,6 +10,7 @@ from rillmark.operators.monitor import RetrainRule
 from rillmark.schemas import EVENT
 from rillmark.session import scratch_dir
 from rillmark.sources import topics
+from rillmark.sources.snapshots import read_batches
 from rillmark.streaming import flows, sinks
 from tests.conftest import rows
 
@@ -157,3 +158,34 @@ def test_online_learning_updates_and_resets_the_trigger(spark, drop):
     assert kept == [(0, "als", 2, False, True), (1, "als", 2, True, True)]
     latest = {r.user_id: r.features for r in sinks.read_latest(spark, f"{root}/user_factors", ["user_id"]).collect()}
     assert latest["u"] == [pytest.approx(0.0), pytest.approx(1 / 1.1)] and latest["w"] == [0.0, 0.0]
+
+
+@pytest.mark.parametrize("window,slide", [("24 hours", "1 hour"), ("90 minutes", "1 hour"), ("30 minutes", "30 minutes")])
+def test_sliding_state_holds_an_event_once_and_late_ones_count_in_open_windows(spark, drop, window, slide):
+    out, cp = scratch_dir(spark, "out"), scratch_dir(spark, "cp")
+    plain_out, plain_cp = scratch_dir(spark, "out"), scratch_dir(spark, "cp")
+
+    def plain():
+        return drop.stream().withWatermark("timestamp", "10 minutes").groupBy(
+            "user_id", F.window("timestamp", window, slide).alias("w")).agg(
+            F.count("*").alias("event_count"), F.avg("rating").alias("avg_rating"), F.max("timestamp").alias("last_event_time")).select(
+            "*", "w.start", "w.end").drop("w").withColumnsRenamed({"start": "window_start", "end": "window_end"})
+
+    batches = [
+        [event(1, "u", "i", 0), event(2, "u", "i", 20, "rating", 4.0), event(3, None, "i", 45)],
+        [event(4, "u", "i", 310), event(5, "v", "i", 300, "rating", 2.0)],
+        [event(6, "u", "i", 30, "rating", 1.0), event(7, "w", "i", 200), event(8, "u", "i", 305)],  # late by hours
+        [event(9, "u", "i", 2000)],
+        [event(10, "u", "i", 31), event(11, "u", "i", 700), event(12, "v", "i", 1990)],  # the first is late by more than a day
+    ]
+    for data in batches:
+        drop(data)
+        query = sinks.start_feature_query(flows.sliding_user_stream(drop.stream(), window=window, slide=slide), out, cp, once=True)
+        query.awaitTermination()
+        run(sinks.start_feature_query, plain(), plain_out, plain_cp)
+        if data is batches[0] and window == "24 hours":
+            updated = max(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress)
+            assert updated <= 2 + 24  # a row per user and hour, and the hours; 48 with every window in the state
+    cols = ["user_id", "window_start", "window_end", "event_count", "avg_rating", "last_event_time"]
+    got = read_batches(spark, out, flows.sliding_windows(slide))
+    assert rows(got, *cols) == rows(sinks.read_latest(spark, plain_out, ["user_id", "window_start"]), *cols)
