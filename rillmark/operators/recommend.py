@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.operators import models as ml
+from rillmark.operators.boosting import Ranker
 from rillmark.operators.rerank import cold_start, rerank
 from rillmark.operators.training import NO_PAIR, with_features
 
@@ -20,7 +20,7 @@ def candidate_features(candidates: DataFrame, pairs: DataFrame, users: DataFrame
 
 
 def recommend_all(
-    candidates: DataFrame, ranker: PipelineModel, pairs: DataFrame, users: DataFrame, items: DataFrame,
+    candidates: DataFrame, ranker: Ranker, pairs: DataFrame, users: DataFrame, items: DataFrame,
     popularity: DataFrame, percentiles: DataFrame, categories: DataFrame, k: int = 10,
 ) -> DataFrame:
     """Final lists of every user: score the candidates, dampen by popularity, diversify, and fall back to the popular items."""
